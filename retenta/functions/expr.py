@@ -17,6 +17,11 @@ def ratio(num: Column, den: Column, empty: float | None = None) -> Column:
     return r if empty is None else F.coalesce(r, F.lit(float(empty)))
 
 
+def cents(c: Column) -> Column:
+    """Half-even rounding to two digits on the binary double, as array libraries do it."""
+    return F.rint(c * 100) / F.lit(100.0)
+
+
 def finite(c: Column) -> Column:
     """NaN becomes NULL: one missing marker throughout."""
     d = c.cast("double")
