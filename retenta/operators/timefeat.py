@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from retenta.functions.expr import cents, elapsed_days, elapsed_hours, ratio
 from retenta.params import Transactions
-from retenta.plans.order import running_totals
+from retenta.plans.order import BIN, assign_bins, running_totals
 from retenta.plans.quantiles import fit_quantiles
 
 TINY = 1e-8
@@ -30,7 +30,7 @@ def rfm_features(df: DataFrame, tx: Transactions = Transactions(), reference: Co
     v = F.col(tx.value)
     g = df.groupBy(tx.customer).agg(
         F.max(tx.date).alias("last_date"), F.min(tx.date).alias("first_date"), F.count(tx.date).alias("frequency"),
-        cents(F.sum(v)).alias("monetary_total"), cents(F.avg(v)).alias("monetary_avg"),
+        cents(F.sum(v)).alias("monetary_total"), cents(F.round(F.sum(v), 6) / F.count(v)).alias("monetary_avg"),
         cents(F.stddev_samp(v)).alias("monetary_std"))
     life = elapsed_days(F.col("first_date"), F.col("last_date"))
     return g.select(
@@ -129,12 +129,23 @@ def sessions(df: DataFrame, gap_hours: int = 24, tx: Transactions = Transactions
     """Sessions by inactivity: a new one starts when the gap exceeds the threshold.
 
     `gap_hours_sum` includes the gap before the session, as recorded on its first row.
+    Customers are cut into time bins, so one busy customer spreads over tasks;
+    the last moment and the session count of earlier bins are carried over.
     """
-    order = W.partitionBy(tx.customer).orderBy(tx.date)
-    gap = elapsed_hours(F.lag(tx.date).over(order), F.col(tx.date))
-    marked = df.withColumn("_gap", gap)
-    starts = F.when(F.col("_gap").isNull() | (F.col("_gap") > gap_hours), 1).otherwise(0)
-    numbered = marked.withColumn("session_id", F.sum(starts).over(order.rowsBetween(W.unboundedPreceding, 0)))
+    slot = [tx.customer, BIN]
+    binned = assign_bins(df, tx.date)
+    earlier = W.partitionBy(tx.customer).orderBy(BIN)
+    edges = binned.groupBy(*slot).agg(F.max(tx.date).alias("_last")).select(
+        *slot, F.lag("_last").over(earlier).alias("_prev"))
+    inside = W.partitionBy(*slot).orderBy(tx.date)
+    marked = binned.join(edges, slot).withColumn(
+        "_gap", elapsed_hours(F.coalesce(F.lag(tx.date).over(inside), F.col("_prev")), F.col(tx.date)))
+    marked = marked.withColumn("_new", F.when(F.col("_gap").isNull() | (F.col("_gap") > gap_hours), 1).otherwise(0))
+    before = earlier.rowsBetween(W.unboundedPreceding, -1)
+    offsets = marked.groupBy(*slot).agg(F.sum("_new").alias("_k")).select(
+        *slot, F.coalesce(F.sum("_k").over(before), F.lit(0)).alias("_off"))
+    upto = inside.rowsBetween(W.unboundedPreceding, W.currentRow)
+    numbered = marked.join(offsets, slot).withColumn("session_id", F.col("_off") + F.sum("_new").over(upto))
     out = numbered.groupBy(tx.customer, "session_id").agg(
         F.min(tx.date).alias("session_start"), F.max(tx.date).alias("session_end"),
         F.count(tx.date).alias("session_count"), F.sum(tx.value).alias("session_sum"),

@@ -13,7 +13,7 @@ EVENTS = Transactions("user_id", "ts", "value")
 RFM = """
 g AS (
   SELECT o_custkey, max(o_orderdate) AS last_date, min(o_orderdate) AS first_date, count(o_orderdate) AS frequency,
-         round_even(sum(o_totalprice), 2) AS monetary_total, round_even(avg(o_totalprice), 2) AS monetary_avg,
+         round_even(sum(o_totalprice), 2) AS monetary_total, round_even(round(sum(o_totalprice), 6) / count(o_totalprice), 2) AS monetary_avg,
          round_even(stddev_samp(o_totalprice), 2) AS monetary_std
   FROM orders GROUP BY o_custkey
 ),
@@ -182,7 +182,7 @@ def customer_orders(t):
 
 
 ITEMS = """SELECT l_orderkey AS order_id, count(l_linenumber) AS total_items, count(DISTINCT l_partkey) AS unique_products,
-  round_even(sum(l_extendedprice), 2) AS total_price, round_even(avg(l_extendedprice), 2) AS avg_item_price,
+  round_even(sum(l_extendedprice), 2) AS total_price, round_even(round(sum(l_extendedprice), 6) / count(l_extendedprice), 2) AS avg_item_price,
   round_even(sum(l_tax), 2) AS total_freight FROM lineitem GROUP BY l_orderkey"""
 ITEM_COLS = dict(order="l_orderkey", item="l_linenumber", product="l_partkey", price="l_extendedprice", freight="l_tax")
 
