@@ -49,8 +49,8 @@ def duplicate_rows(t):
     return Q.duplicate_rows(t.lineitem.select("l_orderkey", "l_linenumber", "l_returnflag"))
 
 
-@query("iqr_outliers", """WITH b AS (SELECT quantile_cont(o_totalprice, 0.25) q1, quantile_cont(o_totalprice, 0.75) q3 FROM priced),
-  priced AS (SELECT o_orderkey, CASE WHEN o_orderkey % 100 = 0 THEN o_totalprice * 20 ELSE o_totalprice END AS o_totalprice FROM orders)
+@query("iqr_outliers", """WITH priced AS (SELECT o_orderkey, CASE WHEN o_orderkey % 100 = 0 THEN o_totalprice * 20 ELSE o_totalprice END AS o_totalprice FROM orders),
+  b AS (SELECT quantile_cont(o_totalprice, 0.25) q1, quantile_cont(o_totalprice, 0.75) q3 FROM priced)
   SELECT o_orderkey, o_totalprice < q1 - 1.5e0 * (q3 - q1) OR o_totalprice > q3 + 1.5e0 * (q3 - q1) AS is_outlier FROM priced, b""")
 def iqr_outliers(t):
     o = spiked_orders(t)
@@ -115,7 +115,7 @@ def _profile_sql() -> str:
 
 
 @query("profile_numeric", _profile_sql(), whole="missing_count unique_count",
-       real="missing_percentage mean median std min max q25 q75 skewness kurtosis")
+       real="missing_percentage mean median std min max q25 q75 skewness kurtosis", digits=8)
 def profile_numeric(t):
     return Q.profile_numeric(gappy_lines(t), LINE)
 
