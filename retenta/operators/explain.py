@@ -8,7 +8,7 @@ x perturbation), score it once on the cluster and aggregate.
 from __future__ import annotations
 
 import random
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Iterator, Sequence
 from itertools import combinations
 
 import numpy as np
@@ -121,7 +121,7 @@ def local_surrogate(df: DataFrame, ident: str, features: Sequence[str], score: S
 
     Noise comes from hashes of (seed, id, draw, feature), so results repeat.
     Copies near the row weigh more (width 0.75 sqrt(features) in deviations).
-    The per-row regression needs exactly `samples` + 1 rows, whatever the table.
+    The regression sums are Spark aggregates; tasks only solve the small systems, in batches.
     """
     features = list(features)
     one = df.agg(*[F.stddev_pop(c).alias(c) for c in features]).first()
@@ -137,20 +137,35 @@ def local_surrogate(df: DataFrame, ident: str, features: Sequence[str], score: S
     rows = rows.withColumns({f"_z_{c}": F.when(F.col("_s") == 0, F.lit(0.0)).otherwise(normal(c)) for c in features})
     rows = rows.withColumns({c: F.col(c) + F.col(f"_z_{c}") * sd[c] for c in features})
     scored = score(rows).select(ident, *[f"_z_{c}" for c in features], "score")
-    width2 = (0.75 * np.sqrt(len(features))) ** 2
-
-    def solve(g: pd.DataFrame) -> pd.DataFrame:
-        z = g[[f"_z_{c}" for c in features]].to_numpy(float)
-        y = g["score"].to_numpy(float)
-        w = np.sqrt(np.exp(-(z**2).sum(axis=1) / width2))
-        mz, my = (w[:, None] * z).sum(0) / w.sum(), (w * y).sum() / w.sum()
-        zc, yc = z - mz, y - my
-        coef = np.linalg.solve((zc * w[:, None]).T @ zc + ridge * np.eye(len(features)), (zc * w[:, None]).T @ yc)
-        best = np.argsort(-np.abs(coef), kind="stable")[:top]
-        return pd.DataFrame({ident: [g[ident].iloc[0]] * len(best), "feature": [features[i] for i in best], "contribution": coef[best]})
+    width2 = float((0.75 * np.sqrt(len(features))) ** 2)
+    z = [F.col(f"_z_{c}") for c in features]
+    d2 = z[0] * z[0]
+    for v in z[1:]:
+        d2 = d2 + v * v
+    d = len(features)
+    w, y = F.exp(-d2 / width2), F.col("score")
+    # weighted sums of 1, z, y, zz', zy: partial sums meet per id before anything is shuffled
+    terms = [w, w * y, *[w * v for v in z], *[w * v * y for v in z], *[w * z[i] * z[j] for i in range(d) for j in range(d)]]
+    sums = scored.groupBy(ident).agg(F.array(*[F.sum(t) for t in terms]).alias("s"))
+
+    def solve(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for g in batches:
+            if g.empty:
+                continue
+            s = np.stack(g["s"].to_numpy())
+            sw, sy, sz, szy = s[:, 0], s[:, 1], s[:, 2:2 + d], s[:, 2 + d:2 + 2 * d]
+            szz = s[:, 2 + 2 * d:].reshape(-1, d, d)
+            mz = sz / sw[:, None]
+            left = szz - mz[:, :, None] * sz[:, None, :] + ridge * np.eye(d)
+            right = szy - mz * sy[:, None]
+            coef = np.linalg.solve(left, right[:, :, None])[:, :, 0]
+            best = np.argsort(-np.abs(coef), axis=1, kind="stable")[:, :top]
+            yield pd.DataFrame({ident: np.repeat(g[ident].to_numpy(), best.shape[1]),
+                                "feature": np.array(features)[best].ravel(),
+                                "contribution": np.take_along_axis(coef, best, axis=1).ravel()})
 
     kind = df.schema[ident].dataType.simpleString()
-    return scored.groupBy(ident).applyInPandas(solve, f"{ident} {kind}, feature string, contribution double")
+    return sums.mapInPandas(solve, f"{ident} {kind}, feature string, contribution double")
 
 
 def ranked_array(attributions: DataFrame, ident: str, name: str, top: int | None = None) -> DataFrame:
