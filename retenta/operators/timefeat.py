@@ -144,7 +144,8 @@ def sessions(df: DataFrame, gap_hours: int = 24, tx: Transactions = Transactions
     before = earlier.rowsBetween(W.unboundedPreceding, -1)
     offsets = marked.groupBy(*slot).agg(F.sum("_new").alias("_k")).select(
         *slot, F.coalesce(F.sum("_k").over(before), F.lit(0)).alias("_off"))
-    upto = inside.rowsBetween(W.unboundedPreceding, W.currentRow)
+    # a range frame: rows with equal timestamps belong to the same session
+    upto = inside.rangeBetween(W.unboundedPreceding, W.currentRow)
     numbered = marked.join(offsets, slot).withColumn("session_id", F.col("_off") + F.sum("_new").over(upto))
     out = numbered.groupBy(tx.customer, "session_id").agg(
         F.min(tx.date).alias("session_start"), F.max(tx.date).alias("session_end"),

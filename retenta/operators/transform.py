@@ -135,6 +135,8 @@ def interactions(df: DataFrame, cols: Sequence[str] | None = None, pairs: Sequen
     """Products `a_x_b` of the first `limit` column pairs, and `a_div_b` where b is never zero."""
     if pairs is None:
         pairs = list(combinations(cols or numeric_columns(df), 2))[:limit]
+    if not pairs:
+        return df
     divisors = sorted({b for _, b in pairs})
     # a missing divisor is not zero, so only zeros count
     zero = df.agg(*[F.count_if(F.col(b) == 0).alias(b) for b in divisors]).first()
