@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from retenta.functions.expr import ratio
 from retenta.plans.scoretable import calibration_bins, calibration_errors, confusion_aggregates, metric_set
+from retenta.plans.small import bounded_table
 from retenta.session import settle
 
 LOGIT_EPS = 1e-15
@@ -53,7 +54,7 @@ def calibration_slopes(df: DataFrame, by: Sequence[str], label: str = "label", s
         mu = 1 / (1 + F.exp(-z))
         r, v = F.col("n") * mu - F.col("pos"), F.col("n") * mu * (1 - mu)
         x = F.col("x")
-        sums = runs.join(state, by).groupBy(*by, "w", "b").agg(
+        sums = runs.join(bounded_table(state), by).groupBy(*by, "w", "b").agg(
             (F.sum(r * x) + F.col("w")).alias("gw"), F.sum(r).alias("gb"),
             (F.sum(v * x * x) + 1).alias("hww"), F.sum(v * x).alias("hwb"), F.sum(v).alias("hbb"))
         det = F.col("hww") * F.col("hbb") - F.col("hwb") * F.col("hwb")

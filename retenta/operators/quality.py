@@ -10,6 +10,7 @@ from retenta.functions.expr import clip, ratio, sample_kurtosis, sample_skewness
 from retenta.params import OutlierParams
 from retenta.plans.order import BIN, TIE_BIN, assign_bins
 from retenta.plans.quantiles import fit_quantiles
+from retenta.plans.small import bounded_table
 
 NUMERIC = {"byte", "short", "integer", "long", "float", "double", "decimal"}
 
@@ -229,7 +230,7 @@ def histogram(df: DataFrame, value: str, group: str, bins: int = 30) -> DataFram
     span = narrow.groupBy(group).agg(F.min("x").alias("lo"), F.max("x").alias("hi"), F.count(F.lit(1)).alias("rows"))
     width = (F.col("hi") - F.col("lo")) / F.lit(float(bins))
     place = F.when(width > 0, F.least(F.floor((F.col("x") - F.col("lo")) / width), F.lit(bins - 1))).otherwise(F.lit(0))
-    cells = narrow.join(span, group).groupBy(group, place.cast("int").alias("bin")).agg(
+    cells = narrow.join(bounded_table(span), group).groupBy(group, place.cast("int").alias("bin")).agg(
         F.count(F.lit(1)).alias("n"), F.max("lo").alias("lo"), F.max("hi").alias("hi"), F.max("rows").alias("rows"))
     return cells.select(
         group, "bin", (F.col("lo") + F.col("bin") * width).alias("left_edge"), "n",

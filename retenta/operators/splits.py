@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from retenta.functions.expr import hash_key, hash_number, ratio
 from retenta.params import SplitParams
 from retenta.plans.order import with_rank
-from retenta.plans.scoretable import join_groups
+from retenta.plans.small import bounded_table
 
 
 def temporal_split(df: DataFrame, date: str, ident: str, params: SplitParams = SplitParams()) -> DataFrame:
@@ -34,7 +34,7 @@ def random_split(df: DataFrame, ident: str, params: SplitParams = SplitParams(),
     df = df.withColumn("_h", hash_number(hash_key(params.seed, F.col(ident))))
     ranked = with_rank(df, "_h", ident, by=by, name="_rank")
     sizes = df.groupBy(*by).agg(F.count(F.lit(1)).alias("_n"))
-    ranked = join_groups(ranked, sizes, by) if by else ranked.withColumn("_n", sizes.scalar())
+    ranked = ranked.join(bounded_table(sizes), list(by)) if by else ranked.withColumn("_n", sizes.scalar())
     n_test = _cut(F.col("_n"), params.test_size)
     n_held = _cut(F.col("_n"), params.test_size + params.val_size)
     name = F.when(F.col("_rank") <= n_test, "test").when(F.col("_rank") <= n_held, "val").otherwise("train")
@@ -53,7 +53,7 @@ def shuffle_splits(df: DataFrame, ident: str, label: str, n_splits: int = 5, see
     ranked = with_rank(rows, "_h", ident, by=["split", label], name="_rank")
     sizes = df.groupBy(label).agg(F.count(F.lit(1)).alias("_n"))
     held = _cut(F.col("_n"), 1 / n_splits)
-    return ranked.join(sizes, label).select(
+    return ranked.join(bounded_table(sizes), label).select(
         "split", ident, label, F.when(F.col("_rank") <= held, "val").otherwise("train").alias("role"))
 
 

@@ -16,6 +16,7 @@ from retenta.functions.pvalues import chi_square_p, correlation_p, fisher_p, man
 from retenta.operators.quality import numeric_columns, value_counts
 from retenta.plans.order import average_ranks, running_totals
 from retenta.plans.quantiles import quantiles
+from retenta.plans.small import bounded_table
 
 EXACT_GROUP, EXACT_LIMIT = 8, 1_000_000
 
@@ -162,7 +163,7 @@ def kruskal_wallis(df: DataFrame, value: str, group: str, alpha: float = 0.05) -
     rows = df.select(F.col(group).alias("g"), F.col(value).cast("double").alias("x")).dropna()
     cells = rows.groupBy("g", "x").agg(F.count(F.lit(1)).alias("m"))
     sizes = cells.groupBy("g").agg(F.sum("m").alias("size")).where("size >= 3")
-    cells = cells.join(sizes, "g")
+    cells = cells.join(bounded_table(sizes), "g")
     runs = _weighted_ranks(cells, [], "x").withColumnRenamed("rank_x", "rank")
     runs = runs.join(cells.groupBy("x").agg(F.sum("m").alias("total")), "x")
     per_group = cells.join(runs.select("x", "rank"), "x").groupBy("g").agg(
@@ -239,7 +240,7 @@ def effect_sizes(df: DataFrame, cols: Sequence[str], label: str) -> DataFrame:
     mean = s.select("column", (F.col("sx") / F.col("n")).alias("mx"),
                     ratio(F.col("sx1"), F.col("n1")).alias("m1"),
                     ratio(F.col("sx") - F.col("sx1"), F.col("n") - F.col("n1")).alias("m0"))
-    spread = runs.join(mean, "column").groupBy("column").agg(
+    spread = runs.join(bounded_table(mean), "column").groupBy("column").agg(
         F.sum(n * (x - F.col("mx")) * (x - F.col("mx"))).alias("vx"),
         F.sum(pos * (x - F.col("m1")) * (x - F.col("m1"))).alias("v1"),
         F.sum((n - pos) * (x - F.col("m0")) * (x - F.col("m0"))).alias("v0"))

@@ -16,6 +16,7 @@ from retenta.operators.quality import apply_winsor, fit_winsor, mode_value, nume
 from retenta.operators.timefeat import fit_reference_date, rfm_features
 from retenta.params import OutlierParams, Transactions
 from retenta.plans.quantiles import fit_quantiles
+from retenta.plans.small import bounded_table
 
 MAX_CATEGORIES = 1000
 
@@ -108,6 +109,7 @@ def fit_target_encoding(df: DataFrame, col: str, label: str) -> DataFrame:
 
 def target_encode(df: DataFrame, col: str, table: DataFrame) -> DataFrame:
     """Replace a column by its fitted encoding; unseen values get the overall mean."""
+    table = bounded_table(table)
     overall = table.agg(F.max("overall")).scalar()
     t = table.select(F.col("value").alias(col), "encoding")
     return df.join(t, col, "left").withColumn(col, F.coalesce(F.col("encoding"), overall)).drop("encoding")
@@ -127,7 +129,7 @@ def target_encode_cross_fitted(df: DataFrame, col: str, label: str, fold: str) -
     spread = overall * (1 - overall) * n
     w = ratio(spread, spread + mean * (1 - mean), 1)
     enc = F.when(n > 0, w * mean + (1 - w) * overall).otherwise(overall)
-    return df.join(grid.select(col, fold, enc.alias("encoding")), [col, fold], "left")
+    return df.join(bounded_table(grid.select(col, fold, enc.alias("encoding"))), [col, fold], "left")
 
 
 def interactions(df: DataFrame, cols: Sequence[str] | None = None, pairs: Sequence[tuple[str, str]] | None = None,

@@ -1,0 +1,18 @@
+"""Joins against tables that are usually small, with the size checked first."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+
+LIMIT = 20_000
+
+
+def bounded_table(df: DataFrame, limit: int = LIMIT) -> DataFrame:
+    """A small aggregate as a local table, or the DataFrame itself when it is not small.
+
+    At most limit + 1 rows are fetched.  A local table has an exact size, so
+    the planner broadcasts it and the large side is not shuffled; beyond the
+    limit the join stays an ordinary distributed one.
+    """
+    rows = df.limit(limit + 1).collect()
+    return df if len(rows) > limit else df.sparkSession.createDataFrame(rows, df.schema)
