@@ -114,9 +114,9 @@ def rolling_features(df: DataFrame, windows: Sequence[int] = (7, 30, 90), tx: Tr
         sign = F.when(F.col("w") == 0, 1).when(F.col("w") == int(d), -1).otherwise(0)
         signed[f"s{d}"] = F.sum(sign * F.col("_s"))
         signed[f"n{d}"] = F.sum(sign * F.col("_n"))
-    steps = moves.groupBy(tx.customer, "_us").agg(*[c.alias(k) for k, c in signed.items()],
-                                                  F.max(F.col("w") == 0).alias("real"))
-    run = running_totals(steps, "_us", {f"_r_{k}": F.col(k) for k in signed}, by=[tx.customer]).where("real")
+    steps = moves.groupBy(tx.customer, "_us").agg(*[c.alias(k) for k, c in signed.items()])
+    # moments at which rows only leave match no input row in the last join
+    run = running_totals(steps, "_us", {f"_r_{k}": F.col(k) for k in signed}, by=[tx.customer])
     cols = []
     for d in windows:
         n, s = F.col(f"_r_n{d}"), F.col(f"_r_s{d}")

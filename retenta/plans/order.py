@@ -6,9 +6,9 @@ not depend on how good the cuts are), running totals are taken inside each
 bin, and the totals of earlier bins come from a small table of at most a few
 bins per group.
 
-A value repeated so often that it is itself a cut point gets a bin of its own,
-split further by the tie-break column, so one score shared by a third of all
-rows still spreads over many tasks.
+A value repeated so often that it fills several cut points gets a bin of its
+own, split further by the tie-break column in proportion to its share, so one
+score shared by a third of all rows still spreads over many tasks.
 """
 
 from __future__ import annotations
@@ -31,8 +31,9 @@ def cut_points(col: Column, n: int) -> Column:
     return F.percentile_approx(col, [i / n for i in range(1, n)], F.lit(max(1000, 4 * n)))
 
 
-def with_positions(df: DataFrame, searches: Sequence[tuple[str, str, str]], n_cuts: int) -> DataFrame:
-    """Binary search: for each (key, cuts array, out) add how many cuts are < key.
+def with_positions(df: DataFrame, searches: Sequence[tuple[str, str, str]], n_cuts: int,
+                   upto: Sequence[tuple[str, str, str]] = ()) -> DataFrame:
+    """Binary search: for each (key, cuts array, out) add how many cuts are < key (<= key in `upto`).
 
     One projection per halving step, so the search stays in generated code and
     its length is log2 of the number of cuts.
@@ -40,13 +41,14 @@ def with_positions(df: DataFrame, searches: Sequence[tuple[str, str, str]], n_cu
     step = 1
     while step * 2 <= n_cuts:
         step *= 2
-    df = df.withColumns({out: F.lit(0) for _, _, out in searches})
+    df = df.withColumns({out: F.lit(0) for _, _, out in (*searches, *upto)})
     while step:
-        df = df.withColumns({
-            out: F.when(F.get(F.col(cuts), F.col(out) + (step - 1)) < F.col(key), F.col(out) + step)
-            .otherwise(F.col(out))
-            for key, cuts, out in searches
-        })
+        moves = {}
+        for i, (key, cuts, out) in enumerate((*searches, *upto)):
+            at = F.get(F.col(cuts), F.col(out) + (step - 1))
+            passed = at < F.col(key) if i < len(searches) else at <= F.col(key)
+            moves[out] = F.when(passed, F.col(out) + step).otherwise(F.col(out))
+        df = df.withColumns(moves)
         step //= 2
     return df
 
@@ -65,14 +67,18 @@ def assign_bins(df: DataFrame, key: str, tie: str | None = None, bins: int | Non
     searches = [(key, f"{CUTS}.k", "_below")]
     if tie:
         searches.append((tie, f"{CUTS}.t", "_tie_below"))
-    df = with_positions(df.withColumn(CUTS, cuts), searches, n - 1)
-    on_cut = F.coalesce(F.get(F.col(f"{CUTS}.k"), F.col("_below")) == F.col(key), F.lit(False))
-    df = df.withColumn(
-        BIN,
-        F.when(F.col(key).isNull(), F.lit(-1)).otherwise(2 * F.col("_below") + on_cut.cast("int")),
-    )
-    tie_bin = F.when(F.col(BIN) % 2 != 0, F.col("_tie_below")).otherwise(F.lit(0)) if tie else F.lit(0)
-    return df.withColumn(TIE_BIN, tie_bin).drop(CUTS, "_below", "_tie_below")
+    df = with_positions(df.withColumn(CUTS, cuts), searches, n - 1, upto=[(key, f"{CUTS}.k", "_upto")])
+    same = F.col("_upto") - F.col("_below")
+    place = F.when(F.col(key).isNull(), F.lit(-1)).otherwise(2 * F.col("_below") + (same > 0).cast("int"))
+    # never NULL, and declared so by coalesce: a join on the bins then adds no
+    # not-NULL filter, which would be pushed through every search step below
+    df = df.withColumn(BIN, F.coalesce(place, F.lit(-1)))
+    tie_bin = F.lit(0)
+    if tie:
+        # a value filling m cuts holds about m / n of the rows: m tie bins keep them even
+        tie_bin = F.when(F.col(key).isNull(), F.col("_tie_below")).when(
+            same > 1, F.floor(F.col("_tie_below") * same / F.lit(n)).cast("int")).otherwise(F.lit(0))
+    return df.withColumn(TIE_BIN, F.coalesce(tie_bin, F.lit(0))).drop(CUTS, "_below", "_upto", "_tie_below")
 
 
 def running_totals(
@@ -103,7 +109,7 @@ def running_totals(
         *[F.coalesce(F.sum(f"_sum_{n}").over(earlier), F.lit(0)).alias(f"_off_{n}") for n in totals],
     )
     if not by:
-        # at most 2 * bins * bins rows by construction, usually 2 * bins
+        # about four rows per bin at most: 2 per cut, the tie bins of crowded values, the NULLs
         offsets = F.broadcast(offsets)
     key_order = F.col(key).desc() if descending else F.col(key).asc()
     order = [key_order, *([F.col(tie).asc()] if tie else []), *[F.col(c).asc() for c in last_order]]
