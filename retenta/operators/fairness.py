@@ -132,7 +132,7 @@ def fairness_report(df: DataFrame, segment_cols: Sequence[str], threshold: float
         F.count(F.lit(1)).alias("n_cal"))
     perf = subgroup_performance(df, segment_cols).groupBy("segment_name").agg(
         (F.max("roc_auc") - F.min("roc_auc")).alias("auc_range"), F.count(F.lit(1)).alias("n_segments"),
-        F.min_by("segment", F.struct("roc_auc", "segment")).alias("worst_segment"))
+        F.min_by("segment", F.when(F.col("roc_auc").isNotNull(), F.struct("roc_auc", "segment"))).alias("worst_segment"))
     t = names.join(bias, "segment_name", "left").join(cal, "segment_name", "left").join(perf, "segment_name", "left")
     t = t.withColumns({"n_bias": F.coalesce("n_bias", F.lit(0)), "n_cal": F.coalesce("n_cal", F.lit(0))})
     total = t.agg(F.sum(F.col("n_bias") + F.col("n_cal"))).scalar()
