@@ -26,9 +26,10 @@ FIELD = "<*>"
 _WITH_DIGIT = r"(?<![^\x20\x09-\x0D])[^\x20\x09-\x0D0-9]*+[0-9][^\x20\x09-\x0D]*+"
 
 
-def _tokens(line: Column) -> Column:
-    masked = F.when(line.rlike("[0-9]"), F.regexp_replace(line, _WITH_DIGIT, FIELD)).otherwise(line)
-    return F.filter(F.split(masked, BLANK), lambda t: t != "")
+def _masked(line: Column) -> Column:
+    """The line's tokens, joined by single spaces, each token with a digit as a variable field."""
+    plain = F.regexp_replace(F.trim(line, F.lit(" \t\n\x0b\f\r")), r"[\x20\x09-\x0D]{2,}|[\x09-\x0D]", " ")
+    return F.when(line.rlike("[0-9]"), F.regexp_replace(plain, _WITH_DIGIT, FIELD)).otherwise(plain)
 
 
 def _two_hashes(*cols: Column) -> tuple[Column, Column]:
@@ -40,30 +41,34 @@ def _lines(docs: DataFrame) -> DataFrame:
     """(doc_id, row, pos, n, leaf, h1, h2) of every line that can be dropped; row tells rows of one id apart."""
     lines = docs.where(F.col("doc_id").isNotNull()).select(
         "doc_id", F.xxhash64("text").alias("row"), F.posexplode(F.split("text", "\n")).alias("pos", "line"))
-    cut = lines.select("doc_id", "row", "pos", _tokens(F.col("line")).alias("tokens"))
-    named = cut.select("doc_id", "row", "pos", F.size("tokens").alias("n"), F.array_join("tokens", " ").alias("whole"),
-                       F.array_join(F.slice("tokens", 1, LEADING), " ").alias("head"))
+    cut = lines.select("doc_id", "row", "pos", _masked(F.col("line")).alias("whole")).where(F.col("whole") != "")
+    n = F.length("whole") - F.length(F.replace("whole", F.lit(" "), F.lit(""))) + 1
+    named = cut.select("doc_id", "row", "pos", "whole", n.alias("n"), F.substring_index("whole", " ", LEADING).alias("head"))
     h1, h2 = _two_hashes(F.col("whole"))
     return named.where(F.col("n") >= LEAST_TOKENS).select("doc_id", "row", "pos", "n", F.xxhash64("n", "head").alias("leaf"), h1.alias("h1"), h2.alias("h2"))
 
 
 def _templates(docs: DataFrame, distinct: DataFrame) -> DataFrame:
-    """(leaf, h1, h2, g1, g2): the template of each line whose leaf holds other lines of other documents too."""
+    """(leaf, h1, h2, g1, g2): the template of each line that has one with variable fields, or could have.
+
+    Only leaves that hold different lines of different documents are looked at.
+    """
     mixed = distinct.groupBy("leaf").agg(F.count(F.lit(1)).alias("kinds"), F.min("lo").alias("a"), F.max("hi").alias("z"))
     wanted = distinct.join(mixed.where((F.col("kinds") > 1) & (F.col("a") != F.col("z"))).select("leaf"), "leaf", "left_semi")
     by_doc = wanted.groupBy(F.col("first.doc_id").alias("doc_id"), F.col("first.row").alias("row")).agg(
         F.collect_list(F.struct(F.col("first.pos").alias("pos"), "leaf", "h1", "h2", "lo", "hi")).alias("wanted"))  # a document's own lines
-    texts = docs.select("doc_id", F.xxhash64("text").alias("row"), "text").dropDuplicates(["doc_id", "row"])
+    texts = docs.select("doc_id", F.xxhash64("text").alias("row"), "text")
     lines = texts.join(by_doc, ["doc_id", "row"]).select(F.split("text", "\n").alias("lines"), F.explode("wanted").alias("w"))
-    tokens = table(lines.select("w.leaf", "w.h1", "w.h2", "w.lo", "w.hi", F.posexplode(_tokens(F.get("lines", F.col("w.pos")))).alias("p", "token")), "tokens")
-    held = tokens.where(F.col("token") != FIELD).groupBy("leaf", "p", "token").agg(F.min("lo").alias("a"), F.max("hi").alias("z"))
-    constant = held.where(F.col("a") != F.col("z")).select("leaf", "p", "token", F.lit(True).alias("fixed"))
-    field = F.when(F.col("fixed"), F.col("token")).otherwise(FIELD)
-    shapes = tokens.join(constant, ["leaf", "p", "token"], "left").groupBy("leaf", "h1", "h2").agg(
-        F.count(F.lit(1)).alias("n"), F.count("fixed").alias("fixed"), F.sort_array(F.collect_list(F.struct("p", field.alias("f")))).alias("shape"))
-    g1, g2 = _two_hashes(F.lit("template"), F.array_join("shape.f", " "))
-    general = F.col("fixed") * 10 >= F.col("n") * CONSTANT_TENTHS
-    return shapes.select("leaf", "h1", "h2", F.when(general, g1).otherwise(F.col("h1")).alias("g1"), F.when(general, g2).otherwise(F.col("h2")).alias("g2"))
+    cut = lines.select("w.leaf", "w.h1", "w.h2", "w.lo", "w.hi", F.split(_masked(F.get("lines", F.col("w.pos"))), " ").alias("tokens"))
+    once = table(cut.dropDuplicates(["leaf", "h1", "h2"]), "tokens")  # rows that repeat a document bring its lines again
+    place = F.explode(F.transform("tokens", lambda t, i: F.when(t != FIELD, F.xxhash64(i, t)))).alias("at")
+    held = once.select("leaf", "lo", "hi", place).where("at is not null").groupBy("leaf", "at").agg(F.min("lo").alias("a"), F.max("hi").alias("z"))
+    constant = held.where(F.col("a") != F.col("z")).select("leaf", "at")
+    # a template is the set of its constants, as an exclusive or of two hashes of each
+    shapes = once.select("leaf", "h1", "h2", F.size("tokens").alias("n"), place).join(constant, ["leaf", "at"]).groupBy("leaf", "h1", "h2", "n").agg(
+        F.count(F.lit(1)).alias("fixed"), F.bit_xor("at").alias("g1"), F.bit_xor(F.xxhash64(F.lit(7), "at")).alias("g2"))
+    general = shapes.where(F.col("fixed") * 10 >= F.col("n") * CONSTANT_TENTHS)
+    return general.select("leaf", "h1", "h2", "g1", "g2")
 
 
 def recurring_lines(docs: DataFrame) -> DataFrame:
