@@ -127,6 +127,7 @@ def _slots(spark, known: pd.DataFrame, seed: int) -> DataFrame:
                         block[turn == e] = permute(c[turn == e] % blocks[s], int(blocks[s]), (seed, int(s), int(e)))
                     yield pd.DataFrame({"shard": shard, "s": s, "block": block, "pass": turn})
 
+    # the planner takes the result to be as small as the range: joins with it need a hint, or it would be broadcast
     return spark.range(0, shards, 1, min(shards, 4 * spark.sparkContext.defaultParallelism)).mapInPandas(
         draw, "shard long, s int, block long, pass long")
 
@@ -152,7 +153,7 @@ def mix_counts(docs: DataFrame, weights=WEIGHTS, share: float = SHARE, most: flo
     placed, known = _placed(docs, [], weights, share, most, block)
     spark = docs.sparkSession
     times = _slots(spark, known, seed).groupBy("s", "block").agg(F.count(F.lit(1)).alias("times"))
-    taken = _pieces(placed, block).join(times, ["s", "block"], "left").groupBy("doc_id", "s", "start", "size").agg(
+    taken = _pieces(placed, block).join(times.hint("merge"), ["s", "block"], "left").groupBy("doc_id", "s", "start", "size").agg(
         F.sum(F.coalesce("times", F.lit(0)) * (F.col("to") - F.col("from"))).alias("taken"))
     none = placed.where(F.col("size") == 0).select("doc_id", "s", "start", "size", F.lit(0).cast("long").alias("taken"))
     facts = spark.createDataFrame(known[["s", "source_size", "target"]].to_dict("records"), "s int, source_size long, target double")
@@ -168,7 +169,7 @@ def mix_documents(docs: DataFrame, weights=WEIGHTS, share: float = SHARE, most:
     """
     keyed = docs.select("doc_id", "text", "lang", "source", "n_chars", F.xxhash64("text", "lang", "n_chars").alias("mix_key"))
     placed, known = _placed(keyed, ["mix_key"], weights, share, most, block)
-    drawn = _pieces(placed, block).join(_slots(docs.sparkSession, known, seed), ["s", "block"])
+    drawn = _pieces(placed, block).join(_slots(docs.sparkSession, known, seed).hint("merge"), ["s", "block"])
     runs = drawn.groupBy("doc_id", "mix_key", "s", "start", "size", "pass").agg(
         F.sort_array(F.collect_list(F.struct("from", "to"))).alias("runs"), F.sum(F.col("to") - F.col("from")).alias("words"))
     names = docs.sparkSession.createDataFrame([(int(s), src) for s, src in zip(known["s"], known["source"])], "s int, mix_source string")
