@@ -325,10 +325,10 @@ def executive_summary(df: DataFrame, model: str = "model", params: BusinessParam
     auc = metric_set(df, [model], threshold).select(model, "roc_auc")
     money = expected_savings(df, threshold, params, [model])
     t = auc.join(money, model)
-    first = F.struct(F.col("roc_auc"), F.xxhash64(model))
+    first = F.struct(F.coalesce(-F.col("roc_auc"), F.lit(float("inf"))), F.col(model))  # ties to the smaller name
 
     def best(c: str) -> Column:
-        return F.max_by(c, first)
+        return F.min_by(c, first)
 
     return t.agg(
         best(model).alias("best_model"), F.max("roc_auc").alias("best_roc_auc"),

@@ -215,5 +215,5 @@ def global_explanation(df: DataFrame, ident: str, features: Sequence[str], score
     """Importance, interactions and partial dependence as three tables."""
     att = shapley_attributions(df, ident, features, score, background, permutations)
     return {"importance": global_importance(att),
-            "interactions": interaction_strengths(df, ident, features, score, background[:4]),
+            "interactions": interaction_strengths(df, ident, features, score, background),
             "partial_dependence": partial_dependence(df, features, score)}

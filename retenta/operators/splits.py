@@ -31,14 +31,15 @@ def _cut(n: Column, share: float) -> Column:
 
 def random_split(df: DataFrame, ident: str, params: SplitParams = SplitParams(), by: Sequence[str] = ()) -> DataFrame:
     """Add `split` by hash rank, within each class of `by` when given."""
-    df = df.withColumn("_h", hash_number(hash_key(params.seed, F.col(ident))))
-    ranked = with_rank(df, "_h", ident, by=by, name="_rank")
-    sizes = df.groupBy(*by).agg(F.count(F.lit(1)).alias("_n"))
-    ranked = ranked.join(bounded_table(sizes), list(by)) if by else ranked.withColumn("_n", sizes.scalar())
+    # a struct of labels is never NULL, so rows with NULL labels are a class like any other
+    df = df.withColumn("_h", hash_number(hash_key(params.seed, F.col(ident)))).withColumn("_class", F.struct(*by) if by else F.lit(0))
+    ranked = with_rank(df, "_h", ident, by=["_class"] if by else [], name="_rank")
+    sizes = df.groupBy(*(["_class"] if by else [])).agg(F.count(F.lit(1)).alias("_n"))
+    ranked = ranked.join(bounded_table(sizes), "_class") if by else ranked.withColumn("_n", sizes.scalar())
     n_test = _cut(F.col("_n"), params.test_size)
     n_held = _cut(F.col("_n"), params.test_size + params.val_size)
     name = F.when(F.col("_rank") <= n_test, "test").when(F.col("_rank") <= n_held, "val").otherwise("train")
-    return ranked.withColumn("split", name).drop("_h", "_rank", "_n")
+    return ranked.withColumn("split", name).drop("_h", "_rank", "_n", "_class")
 
 
 def stratified_split(df: DataFrame, ident: str, label: str, params: SplitParams = SplitParams()) -> DataFrame:
@@ -50,17 +51,18 @@ def shuffle_splits(df: DataFrame, ident: str, label: str, n_splits: int = 5, see
     rows = df.select(ident, label).withColumn("split", F.explode(F.sequence(F.lit(0), F.lit(n_splits - 1))))
     key = F.md5(F.concat(F.lit(f"{seed}|"), F.col("split").cast("string"), F.lit("|"), F.col(ident).cast("string")))
     rows = rows.withColumn("_h", hash_number(key))
-    ranked = with_rank(rows, "_h", ident, by=["split", label], name="_rank")
-    sizes = df.groupBy(label).agg(F.count(F.lit(1)).alias("_n"))
+    ranked = with_rank(rows.withColumn("_class", F.struct(label)), "_h", ident, by=["split", "_class"], name="_rank")
+    sizes = df.groupBy(F.struct(label).alias("_class")).agg(F.count(F.lit(1)).alias("_n"))
     held = _cut(F.col("_n"), 1 / n_splits)
-    return ranked.join(bounded_table(sizes), label).select(
+    return ranked.join(bounded_table(sizes), "_class").select(
         "split", ident, label, F.when(F.col("_rank") <= held, "val").otherwise("train").alias("role"))
 
 
 def stratified_folds(df: DataFrame, ident: str, label: str, folds: int = 5, seed: int = 42) -> DataFrame:
     """Add `fold` 0..k-1: disjoint, class shares kept (hash rank within class, modulo k)."""
-    ranked = with_rank(df.withColumn("_h", hash_number(hash_key(seed, F.col(ident)))), "_h", ident, by=[label], name="_rank")
-    return ranked.withColumn("fold", ((F.col("_rank") - 1) % folds).cast("int")).drop("_h", "_rank")
+    keyed = df.withColumn("_h", hash_number(hash_key(seed, F.col(ident)))).withColumn("_class", F.struct(label))
+    ranked = with_rank(keyed, "_h", ident, by=["_class"], name="_rank")
+    return ranked.withColumn("fold", ((F.col("_rank") - 1) % folds).cast("int")).drop("_h", "_rank", "_class")
 
 
 def sample_rows(df: DataFrame, ident: str, n: int, seed: int = 42) -> DataFrame:

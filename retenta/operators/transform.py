@@ -111,8 +111,9 @@ def target_encode(df: DataFrame, col: str, table: DataFrame) -> DataFrame:
     """Replace a column by its fitted encoding; unseen values get the overall mean."""
     table = bounded_table(table)
     overall = table.agg(F.max("overall")).scalar()
-    t = table.select(F.col("value").alias(col), "encoding")
-    return df.join(t, col, "left").withColumn(col, F.coalesce(F.col("encoding"), overall)).drop("encoding")
+    t = table.select(F.struct(F.col("value").cast(df.schema[col].dataType).alias(col)).alias("_value"), "encoding")
+    coded = df.withColumn("_value", F.struct(col)).join(t, "_value", "left")
+    return coded.withColumn(col, F.coalesce(F.col("encoding"), overall)).drop("encoding", "_value")
 
 
 def target_encode_cross_fitted(df: DataFrame, col: str, label: str, fold: str) -> DataFrame:
@@ -122,14 +123,17 @@ def target_encode_cross_fitted(df: DataFrame, col: str, label: str, fold: str) -
     folds = stats.groupBy(fold).agg(F.sum("n").alias("fn"), F.sum("s").alias("fs"))
     all_rows = stats.agg(F.struct(F.sum("n").alias("n"), F.sum("s").alias("s")).alias("a")).scalar()
     per_value = stats.groupBy(col).agg(F.sum("n").alias("vn"), F.sum("s").alias("vs"))
-    grid = stats.join(per_value, col).join(folds, fold).withColumn("a", all_rows)
+    # a struct of the value is never NULL, so NULL is a category like any other
+    grid = stats.withColumn("_value", F.struct(col)).join(per_value.select(F.struct(col).alias("_value"), "vn", "vs"), "_value")
+    grid = grid.join(folds, fold).withColumn("a", all_rows)
     n, s = F.col("vn") - F.col("n"), F.col("vs") - F.col("s")
     rest_n, rest_s = F.col("a.n") - F.col("fn"), F.col("a.s") - F.col("fs")
     mean, overall = ratio(s, n), rest_s / rest_n
     spread = overall * (1 - overall) * n
     w = ratio(spread, spread + mean * (1 - mean), 1)
     enc = F.when(n > 0, w * mean + (1 - w) * overall).otherwise(overall)
-    return df.join(bounded_table(grid.select(col, fold, enc.alias("encoding"))), [col, fold], "left")
+    known = bounded_table(grid.select("_value", fold, enc.alias("encoding")))
+    return df.withColumn("_value", F.struct(col)).join(known, ["_value", fold], "left").drop("_value")
 
 
 def interactions(df: DataFrame, cols: Sequence[str] | None = None, pairs: Sequence[tuple[str, str]] | None = None,

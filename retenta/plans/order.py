@@ -23,7 +23,7 @@ BIN, TIE_BIN, CUTS = "_bin", "_tie_bin", "_cuts"
 def bin_count(df: DataFrame) -> int:
     """Twice the session's shuffle partitions, so a bin is about half a partition."""
     parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return max(16, min(10_000, 2 * parts))
+    return max(16, 2 * parts)
 
 
 def cut_points(col: Column, n: int) -> Column:

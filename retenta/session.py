@@ -26,10 +26,13 @@ def local_session(cores: str = "8", app: str = "retenta") -> SparkSession:
 def work_folder(spark: SparkSession) -> str:
     """The shared folder for intermediate tables: the cluster's checkpoint folder.
 
-    Only where the cluster names none (local tests) a temporary folder is used.
+    A local session that names none gets a temporary folder; a cluster must name one,
+    since its executors do not share their own disks.
     """
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if not folder:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         folder = tempfile.mkdtemp(prefix="retenta-")
         spark.conf.set("spark.checkpoint.dir", folder)
     return folder

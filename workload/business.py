@@ -320,7 +320,7 @@ bins AS (
 
 
 @query("calibration_curve", WITH2 + BINS_SQL.format(by="model,", src="models") + "SELECT * FROM bins",
-       real="fraction_positive mean_predicted", whole="n")
+       real="fraction_positive mean_predicted", whole="n", digits=9)
 def calibration_curve(t):
     return calibration_bins(two_models(t), ["model"])
 
