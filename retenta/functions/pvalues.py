@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 import math
+from bisect import bisect_left
+from functools import lru_cache
+from itertools import combinations
 
-import numpy as np
 import pandas as pd
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType
@@ -87,23 +89,58 @@ def fisher_two_sided(a: int, b: int, c: int, d: int) -> float:
                 - math.lgamma(n + 1) + math.lgamma(c1 + 1) + math.lgamma(n - c1 + 1))
 
     seen = log_p(a) + 1e-7
-    logs = (log_p(k) for k in range(max(0, c1 - r2), min(r1, c1) + 1))
-    return min(1.0, math.fsum(math.exp(v) for v in logs if v <= seen))
+    mode = (r1 + 1) * (c1 + 1) // (n + 2)
+    # probabilities fall on both sides of the mode: skip to the tails, leave them when terms vanish
+    tails = (range(mode, min(r1, c1) + 1), range(mode - 1, max(0, c1 - r2) - 1, -1))
+
+    def terms(ks: range):
+        for i in range(bisect_left(ks, True, key=lambda k: log_p(k) <= seen), len(ks)):
+            v = log_p(ks[i])
+            if v < seen - 50:
+                return
+            yield math.exp(v)
+
+    return min(1.0, math.fsum(x for ks in tails for x in terms(ks)))
+
+
+@lru_cache
+def _first_counts(small: int) -> tuple[int, list[int]]:
+    """Period, and the number of partitions of at most m into parts 1..small for the first m."""
+    period = math.lcm(*range(1, small + 1))
+    counts = [1] * ((small + 1) * period)
+    for part in range(1, small + 1):
+        for m in range(part, len(counts)):
+            counts[m] += counts[m - part]
+    return period, counts
+
+
+def _partitions_upto(m: int, small: int) -> int:
+    """Partitions of at most m into parts 1..small: a polynomial on each residue, by Newton's differences."""
+    if m < 0:
+        return 0
+    period, counts = _first_counts(small)
+    steps, rest = divmod(m, period)
+    ahead, total = counts[rest::period], 0
+    for k in range(small + 1):
+        total += math.comb(steps, k) * ahead[0]
+        ahead = [y - x for x, y in zip(ahead, ahead[1:])]
+    return total
 
 
 def mann_whitney_exact(u: float, n1: int, n2: int) -> float:
-    """Two-sided exact p without ties: counts of U by products and quotients of (1 - q^k)."""
+    """Two-sided exact p without ties, in whole numbers.
+
+    The arrangements with a given U are counted by the product of
+    (1 - q^(large + i)) / (1 - q^i), i = 1..small, whose numerator has 2^small
+    terms: the work depends on the smaller group alone.
+    """
     small, large = min(n1, n2), max(n1, n2)
-    counts = np.zeros(small * large + 1)
-    counts[0] = 1.0
-    for i in range(1, small + 1):
-        k = large + i
-        if k < len(counts):
-            counts[k:] = counts[k:] - counts[:-k].copy()
-        for start in range(i):
-            counts[start::i] = np.cumsum(counts[start::i])
-    top = max(u, n1 * n2 - u)
-    return float(min(1.0, 2 * counts[math.ceil(top):].sum() / counts.sum()))
+    low = math.floor(min(u, n1 * n2 - u))
+    count = 0
+    for size in range(small + 1):
+        for chosen in combinations(range(1, small + 1), size):
+            count += (-1) ** size * _partitions_upto(low - size * large - sum(chosen), small)
+    return min(1.0, 2 * count / math.comb(small + large, small))
 
 
 def _column(fn, *series: pd.Series) -> pd.Series:

@@ -9,7 +9,6 @@ from pyspark.sql import Column, DataFrame, functions as F
 from retenta.functions.expr import text_rank_key
 from retenta.operators.quality import fit_quantiles, numeric_columns, text_columns, winsorise
 from retenta.plans.order import running_totals
-from retenta.plans.small import bounded_table
 
 # fixed values: columns the rules apply to and the texts they replace
 INTERNET_SERVICES = ("OnlineSecurity", "OnlineBackup", "DeviceProtection", "TechSupport", "StreamingTV", "StreamingMovies")
@@ -99,7 +98,6 @@ def fit_codes(df: DataFrame, cols: Sequence[str]) -> DataFrame:
 
 def apply_codes(df: DataFrame, cols: Sequence[str], codes: DataFrame) -> DataFrame:
     """Texts replaced by fitted codes; NULL and unseen values become -1."""
-    codes = bounded_table(codes)
     for c in cols:
         one = codes.where(F.col("column") == c).select(F.col("value").alias(c), F.col("code").alias(f"_{c}"))
         df = df.join(one, c, "left").withColumn(c, F.coalesce(F.col(f"_{c}"), F.lit(-1))).drop(f"_{c}")

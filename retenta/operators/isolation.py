@@ -48,22 +48,20 @@ def isolation_outliers(df: DataFrame, ident: str, cols: Sequence[str], trees: in
                        params: OutlierParams = OutlierParams()) -> DataFrame:
     """Add `anomaly_score` and `is_outlier` (the `contamination` share with the highest scores).
 
-    Every tree sees its own `sample` rows: a large table is thinned by hash to
-    about twice what the trees need, and a tree keeps the first `sample` of its
-    rows by hash.  Trees are tiny and travel to the tasks as text.
+    Every tree sees its own `sample` rows: each (tree, row) pair is drawn by hash
+    with a share of about 2 * sample / rows, and a tree keeps the first `sample`
+    of its rows by hash.  Trees are tiny and travel to the tasks as text.
     """
     cols = list(cols)
     fill = {c: q[0] for c, q in fit_quantiles(df, cols, [0.5]).items()}
     ready = _fill(df, fill)
-    n = df.count()
-    wanted, steps = 2.0 * sample * trees, 1 << 53
+    n, steps = df.count(), 1 << 53
     rows = ready.select(ident, *cols)
-    if n > wanted:
-        # thin the table first, then every kept row goes to one tree
-        kept = F.pmod(F.xxhash64(F.lit(seed), F.col(ident)), F.lit(steps)) < F.lit(int(wanted / n * steps))
-        draws = rows.where(kept).withColumn("tree", F.pmod(F.xxhash64(F.lit(seed + 1), F.col(ident)), F.lit(trees)).cast("int"))
-    else:
-        draws = rows.withColumn("tree", F.explode(F.sequence(F.lit(0), F.lit(trees - 1))))
+    # twice the wanted share, so that a tree hardly ever falls short of its sample
+    share = min(1.0, 2.0 * sample / max(n, 1))
+    drawn = F.filter(F.sequence(F.lit(0), F.lit(trees - 1)), lambda t: F.pmod(
+        F.xxhash64(F.lit(seed), t, F.col(ident)), F.lit(steps)) < F.lit(int(share * steps)))
+    draws = rows.withColumn("tree", F.explode(drawn))
     draws = draws.withColumn("h", F.xxhash64(F.lit(seed + 2), F.col("tree"), F.col(ident)))
 
     def build(g: pd.DataFrame) -> pd.DataFrame:

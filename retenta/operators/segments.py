@@ -15,7 +15,6 @@ from retenta.functions.expr import ratio
 from retenta.operators.quality import value_counts
 from retenta.operators.transform import apply_numeric, fit_numeric
 from retenta.plans.quantiles import quantiles
-from retenta.plans.small import bounded_table
 from retenta.session import settle
 
 
@@ -66,7 +65,6 @@ def cluster_quality(df: DataFrame, cols: Sequence[str], segment: str) -> DataFra
     """
     cols = list(cols)
     cent = df.groupBy(segment).agg(F.count(F.lit(1)).alias("_n"), *[F.avg(c).alias(f"_m_{c}") for c in cols])
-    cent = bounded_table(cent)
     d2 = sum(((F.col(c) - F.col(f"_m_{c}")) * (F.col(c) - F.col(f"_m_{c}")) for c in cols[1:]),
              (F.col(cols[0]) - F.col(f"_m_{cols[0]}")) * (F.col(cols[0]) - F.col(f"_m_{cols[0]}")))
     within = df.join(cent, segment).groupBy(segment).agg(F.sum(d2).alias("_w"), F.avg(F.sqrt(d2)).alias("_s"))

@@ -12,7 +12,6 @@ from pyspark.sql import Column, DataFrame, functions as F
 from retenta.functions.expr import hash_key, hash_number, ratio
 from retenta.params import SplitParams
 from retenta.plans.order import with_rank
-from retenta.plans.small import bounded_table
 
 
 def temporal_split(df: DataFrame, date: str, ident: str, params: SplitParams = SplitParams()) -> DataFrame:
@@ -35,7 +34,7 @@ def random_split(df: DataFrame, ident: str, params: SplitParams = SplitParams(),
     df = df.withColumn("_h", hash_number(hash_key(params.seed, F.col(ident)))).withColumn("_class", F.struct(*by) if by else F.lit(0))
     ranked = with_rank(df, "_h", ident, by=["_class"] if by else [], name="_rank")
     sizes = df.groupBy(*(["_class"] if by else [])).agg(F.count(F.lit(1)).alias("_n"))
-    ranked = ranked.join(bounded_table(sizes), "_class") if by else ranked.withColumn("_n", sizes.scalar())
+    ranked = ranked.join(sizes, "_class") if by else ranked.withColumn("_n", sizes.scalar())
     n_test = _cut(F.col("_n"), params.test_size)
     n_held = _cut(F.col("_n"), params.test_size + params.val_size)
     name = F.when(F.col("_rank") <= n_test, "test").when(F.col("_rank") <= n_held, "val").otherwise("train")
@@ -54,7 +53,7 @@ def shuffle_splits(df: DataFrame, ident: str, label: str, n_splits: int = 5, see
     ranked = with_rank(rows.withColumn("_class", F.struct(label)), "_h", ident, by=["split", "_class"], name="_rank")
     sizes = df.groupBy(F.struct(label).alias("_class")).agg(F.count(F.lit(1)).alias("_n"))
     held = _cut(F.col("_n"), 1 / n_splits)
-    return ranked.join(bounded_table(sizes), "_class").select(
+    return ranked.join(sizes, "_class").select(
         "split", ident, label, F.when(F.col("_rank") <= held, "val").otherwise("train").alias("role"))
 
 

@@ -16,9 +16,8 @@ from retenta.functions.pvalues import chi_square_p, correlation_p, fisher_p, man
 from retenta.operators.quality import numeric_columns, value_counts
 from retenta.plans.order import average_ranks, running_totals
 from retenta.plans.quantiles import quantiles
-from retenta.plans.small import bounded_table
 
-EXACT_GROUP, EXACT_LIMIT = 8, 1_000_000
+EXACT_GROUP = 8
 
 
 def effect_band(v: Column) -> Column:
@@ -108,7 +107,7 @@ def mann_whitney(df: DataFrame, cols: Sequence[str], label: str, alpha: float =
     sd = F.sqrt(n1 * n0 / 12 * ((n + 1) - F.col("ties") / (n * (n - 1))))
     z = ratio(F.greatest(u, n1 * n0 - u) - n1 * n0 / 2 - 0.5, sd)
     t = t.withColumns({"u": u, "z": z})
-    exact = (F.least(n1, n0) <= EXACT_GROUP) & (F.col("ties") == 0) & (F.greatest(n1, n0) <= EXACT_LIMIT)
+    exact = (F.least(n1, n0) <= EXACT_GROUP) & (F.col("ties") == 0)
     normal = F.when(F.col("z") < 0, F.lit(1.0)).otherwise(normal_p(F.col("z")))
     few = F.col("n") < 10
     small = (n1 < 3) | (n0 < 3)
@@ -136,8 +135,8 @@ def group_statistics(df: DataFrame, cols: Sequence[str], group: str, population_
     return flat.join(wide, [group, "column"])
 
 
-def fisher_exact(df: DataFrame, cols: Sequence[str], label: str, alpha: float = 0.05) -> DataFrame:
-    """Odds ratio and p of 2 x 2 tables; other tables are marked `not_binary`."""
+def fisher_exact(df: DataFrame, cols: Sequence[str], label: str, alpha: float = 0.05, below: int | None = None) -> DataFrame:
+    """Odds ratio and p of 2 x 2 tables (with fewer than `below` rows); other tables are marked `not_binary`."""
     counts = value_counts(df.where(F.col(label).isNotNull()), cols, [label])
     low = counts.groupBy("column").agg(F.min("value").alias("v0"), F.min(label).alias("l0"),
                                        F.count_distinct("value").alias("nv"), F.count_distinct(label).alias("nl"))
@@ -151,6 +150,9 @@ def fisher_exact(df: DataFrame, cols: Sequence[str], label: str, alpha: float =
         cell(first_row & first_col).alias("a"), cell(first_row & ~first_col).alias("b"),
         cell(~first_row & first_col).alias("c"), cell(~first_row & ~first_col).alias("d"))
     valid = (F.col("nv") == 2) & (F.col("nl") == 2)
+    if below is not None:
+        # a filter, so the p-value is never worked out for tables the caller leaves to another test
+        t = t.where(F.col("a") + F.col("b") + F.col("c") + F.col("d") < below)
     t = t.withColumn("p_value", fisher_p(F.when(valid, F.col("a")), F.col("b"), F.col("c"), F.col("d")))
     odds = ratio(F.col("a").cast("double") * F.col("d"), F.col("b").cast("double") * F.col("c"))
     return t.select("column", F.lit("Fisher's exact").alias("test_name"), F.when(valid, odds).alias("statistic"),
@@ -163,7 +165,7 @@ def kruskal_wallis(df: DataFrame, value: str, group: str, alpha: float = 0.05) -
     rows = df.select(F.col(group).alias("g"), F.col(value).cast("double").alias("x")).dropna()
     cells = rows.groupBy("g", "x").agg(F.count(F.lit(1)).alias("m"))
     sizes = cells.groupBy("g").agg(F.sum("m").alias("size")).where("size >= 3")
-    cells = cells.join(bounded_table(sizes), "g")
+    cells = cells.join(sizes, "g")
     runs = _weighted_ranks(cells, [], "x").withColumnRenamed("rank_x", "rank")
     runs = runs.join(cells.groupBy("x").agg(F.sum("m").alias("total")), "x")
     per_group = cells.join(runs.select("x", "rank"), "x").groupBy("g").agg(
@@ -202,7 +204,7 @@ def test_all(df: DataFrame, label: str, cols: Sequence[str] | None = None, alpha
             F.sum("n").alias("rows"), F.count_distinct("value").alias("nv"), F.count_distinct(label).alias("nl"))
         use = sizes.select("column", ((F.col("nv") == 2) & (F.col("nl") == 2) & (F.col("rows") < fisher_below)).alias("fisher"))
         none = F.lit(None)
-        fish = fisher_exact(df, cats, label, alpha).select(
+        fish = fisher_exact(df, cats, label, alpha, fisher_below).select(
             "column", "test_name", "statistic", "p_value", none.cast("double").alias("effect_size"),
             F.lit("").alias("effect_size_name"), F.lit("").alias("effect_interpretation"), "interpretation", "is_significant")
         parts.append(chi.select(*TEST_COLUMNS).join(use.where("not fisher").select("column"), "column"))
@@ -240,7 +242,7 @@ def effect_sizes(df: DataFrame, cols: Sequence[str], label: str) -> DataFrame:
     mean = s.select("column", (F.col("sx") / F.col("n")).alias("mx"),
                     ratio(F.col("sx1"), F.col("n1")).alias("m1"),
                     ratio(F.col("sx") - F.col("sx1"), F.col("n") - F.col("n1")).alias("m0"))
-    spread = runs.join(bounded_table(mean), "column").groupBy("column").agg(
+    spread = runs.join(mean, "column").groupBy("column").agg(
         F.sum(n * (x - F.col("mx")) * (x - F.col("mx"))).alias("vx"),
         F.sum(pos * (x - F.col("m1")) * (x - F.col("m1"))).alias("v1"),
         F.sum((n - pos) * (x - F.col("m0")) * (x - F.col("m0"))).alias("v0"))

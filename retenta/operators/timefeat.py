@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from retenta.functions.expr import cents, elapsed_days, elapsed_hours, ratio
 from retenta.params import Transactions
-from retenta.plans.order import BIN, assign_bins, running_totals
+from retenta.plans.order import BIN, assign_bins
 from retenta.plans.quantiles import fit_quantiles
 
 TINY = 1e-8
@@ -93,36 +93,38 @@ def rolling_features(df: DataFrame, windows: Sequence[int] = (7, 30, 90), tx: Tr
     """Per-row sum, count and mean over (t - w days, t] of the same customer.
 
     Rows with equal timestamps see each other, so the result does not depend
-    on input order.  A window is (running total at t) minus (running total at
-    the last moment at or before t - w), so the cost per row does not grow with
-    the window, and a customer holding a large share of the rows is ordered in
-    many tasks, not one.
+    on input order.  Time is cut into buckets as wide as the window: the window
+    at t is what the previous bucket holds after t - w plus what t's own bucket
+    holds up to t.  Both are running sums inside one bucket, so values are only
+    ever added (no digits cancel), the cost per row does not grow with the
+    window, and a busy customer's history spreads over tasks by bucket.
     """
-    day_us = 86_400_000_000
-    at = F.col(tx.date).cast("timestamp")
-    base = df.withColumn("_us", F.unix_micros(at))
-    moments = base.where(F.col("_us").isNotNull()).groupBy(tx.customer, "_us").agg(
+    moments = df.withColumn("_us", F.unix_micros(F.col(tx.date).cast("timestamp")))
+    base, moments = moments, moments.where(F.col("_us").isNotNull()).groupBy(tx.customer, "_us").agg(
         F.sum(tx.value).alias("_s"), F.count(tx.value).alias("_n"))
-    # every moment enters at t and, per window, leaves at t + w
-    ends = F.array(F.struct(F.lit(0).alias("w"), F.lit(1).alias("sign")),
-                   *[F.struct(F.lit(int(d)).alias("w"), F.lit(-1).alias("sign")) for d in windows])
-    moves = moments.withColumn("e", F.explode(ends)).select(
-        tx.customer, (F.col("_us") + F.col("e.w") * F.lit(day_us)).alias("_us"),
-        F.col("e.w").alias("w"), F.col("_s"), F.col("_n"))
-    signed = {}
-    for d in windows:
-        sign = F.when(F.col("w") == 0, 1).when(F.col("w") == int(d), -1).otherwise(0)
-        signed[f"s{d}"] = F.sum(sign * F.col("_s"))
-        signed[f"n{d}"] = F.sum(sign * F.col("_n"))
-    steps = moves.groupBy(tx.customer, "_us").agg(*[c.alias(k) for k, c in signed.items()])
-    # moments at which rows only leave match no input row in the last join
-    run = running_totals(steps, "_us", {f"_r_{k}": F.col(k) for k in signed}, by=[tx.customer])
-    cols = []
+    # per window, a moment is a value in its own bucket and a question to the bucket before
+    roles = F.array(*[F.struct(F.lit(int(d)).cast("long").alias("w"), F.lit(ask).alias("ask"))
+                      for d in windows for ask in (False, True)])
+    width = F.col("_w") * F.lit(86_400_000_000)
+    marks = moments.withColumn("_role", F.explode(roles)).select(
+        tx.customer, "_us", "_s", "_n", F.col("_role.w").alias("_w"), F.col("_role.ask").alias("_ask"))
+    marks = marks.withColumns({
+        "_at": F.when(F.col("_ask"), F.col("_us") - width).otherwise(F.col("_us")),
+        "_s": F.when(~F.col("_ask"), F.col("_s")), "_n": F.when(~F.col("_ask"), F.col("_n"))})
+    marks = marks.withColumn("_start", F.col("_at") - F.pmod(F.col("_at"), width))
+    bucket = W.partitionBy(tx.customer, "_w", "_start")
+    upto = bucket.orderBy("_at", "_ask").rowsBetween(W.unboundedPreceding, W.currentRow)
+    # a question at t - w comes before the value of that moment, which the window leaves out
+    after = bucket.orderBy(F.desc("_at"), F.desc("_ask")).rowsBetween(W.unboundedPreceding, W.currentRow)
+    parts = marks.select(tx.customer, "_us", "_w", *[
+        F.when(F.col("_ask"), F.sum(c).over(after)).otherwise(F.sum(c).over(upto)).alias(c) for c in ("_s", "_n")])
+    aggs = []
     for d in windows:
-        n, s = F.col(f"_r_n{d}"), F.col(f"_r_s{d}")
-        cols += [F.when(n > 0, s).alias(f"rolling_{d}d_sum"), n.alias(f"rolling_{d}d_count"),
-                 ratio(s, n).alias(f"rolling_{d}d_mean")]
-    return base.join(run.select(tx.customer, "_us", *cols), [tx.customer, "_us"], "left").drop("_us")
+        inside = F.col("_w") == int(d)
+        n, s = F.sum(F.when(inside, F.col("_n"))), F.sum(F.when(inside, F.col("_s")))
+        aggs += [s.alias(f"rolling_{d}d_sum"), n.alias(f"rolling_{d}d_count"), ratio(s, n).alias(f"rolling_{d}d_mean")]
+    totals = parts.groupBy(tx.customer, "_us").agg(*aggs)
+    return base.join(totals, [tx.customer, "_us"], "left").drop("_us")
 
 
 def sessions(df: DataFrame, gap_hours: int = 24, tx: Transactions = Transactions()) -> DataFrame:

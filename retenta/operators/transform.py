@@ -16,7 +16,6 @@ from retenta.operators.quality import apply_winsor, fit_winsor, mode_value, nume
 from retenta.operators.timefeat import fit_reference_date, rfm_features
 from retenta.params import OutlierParams, Transactions
 from retenta.plans.quantiles import fit_quantiles
-from retenta.plans.small import bounded_table
 
 MAX_CATEGORIES = 1000
 
@@ -109,7 +108,6 @@ def fit_target_encoding(df: DataFrame, col: str, label: str) -> DataFrame:
 
 def target_encode(df: DataFrame, col: str, table: DataFrame) -> DataFrame:
     """Replace a column by its fitted encoding; unseen values get the overall mean."""
-    table = bounded_table(table)
     overall = table.agg(F.max("overall")).scalar()
     t = table.select(F.struct(F.col("value").cast(df.schema[col].dataType).alias(col)).alias("_value"), "encoding")
     coded = df.withColumn("_value", F.struct(col)).join(t, "_value", "left")
@@ -132,7 +130,7 @@ def target_encode_cross_fitted(df: DataFrame, col: str, label: str, fold: str) -
     spread = overall * (1 - overall) * n
     w = ratio(spread, spread + mean * (1 - mean), 1)
     enc = F.when(n > 0, w * mean + (1 - w) * overall).otherwise(overall)
-    known = bounded_table(grid.select("_value", fold, enc.alias("encoding")))
+    known = grid.select("_value", fold, enc.alias("encoding"))
     return df.withColumn("_value", F.struct(col)).join(known, ["_value", fold], "left").drop("_value")
 
 

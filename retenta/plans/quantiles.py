@@ -8,10 +8,9 @@ The result is exact whatever the cut points are.
 
 from __future__ import annotations
 
-import math
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window as W, functions as F
+from pyspark.sql import DataFrame, Window as W, functions as F
 
 from retenta.plans.order import bin_count, cut_points, with_positions
 
@@ -69,101 +68,13 @@ def quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float], by: Se
 
 
 def fit_quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float],
-                  accuracy: int = 10_000, limit: int = 200_000) -> dict[str, list[float | None]]:
-    """Exact whole-table quantiles as fitted values: {column: [value per prob]}.
+                  bins: int | None = None) -> dict[str, list[float | None]]:
+    """Exact whole-table quantiles as fitted values: {column: [value per prob]}; None for a column without values.
 
-    One pass brackets every wanted position with a sketch, one pass counts the
-    rows outside the brackets and lists the distinct values inside them.  When
-    those are more than `limit`, or a bracket misses, the distributed form
-    above answers instead; the driver only ever sees bounded results.
+    The driver receives one row per column and probability, whatever the data.
     """
     cols, probs = list(cols), [float(p) for p in probs]
     if not cols:
         return {}
-    slack = 1.5 / accuracy
-    edges = sorted({min(1.0, max(0.0, p + d)) for p in probs for d in (-slack, slack)})
-    values = {c: F.col(c).cast("double") for c in cols}
-    first = df.agg(*[
-        F.struct(F.count(v).alias("n"), F.percentile_approx(v, edges, F.lit(accuracy)).alias("q")).alias(f"s{i}")
-        for i, v in enumerate(values.values())
-    ]).first()
-    sizes, bands = {}, {}
-    for i, c in enumerate(cols):
-        sizes[c] = first[f"s{i}"]["n"]
-        if sizes[c]:
-            at = dict(zip(edges, first[f"s{i}"]["q"]))
-            spans = [(at[max(0.0, p - slack)], at[min(1.0, p + slack)]) for p in sorted(probs)]
-            bands[c] = _disjoint(spans)
-    cells = [
-        F.struct(F.lit(c).alias("column"), *_slot(values[c], bands[c])) for c in cols if c in bands
-    ]
-    if not cells:
-        return {c: [None] * len(probs) for c in cols}
-    long = df.select(F.explode(F.array(*cells)).alias("cell")).select("cell.*").where("slot is not null")
-    found = long.groupBy("column", "slot", "value").agg(F.count(F.lit(1)).alias("m")).limit(limit + 1).collect()
-    runs: dict[str, list[tuple[int, float | None, int]]] = {c: [] for c in cols}
-    for r in found:
-        runs[r["column"]].append((r["slot"], r["value"], r["m"]))
-    out = {c: _read_positions(runs[c], sizes[c], probs) for c in cols}
-    missed = [c for c, v in out.items() if v is None]
-    if len(found) > limit:
-        missed = [c for c in cols if sizes[c]]
-    if missed:
-        table = quantiles(df, missed, probs).collect()  # columns x probs rows
-        exact = {(r["column"], r["prob"]): r["value"] for r in table}
-        out.update({c: [exact[(c, p)] for p in probs] for c in missed})
-    return out
-
-
-def _disjoint(spans: list[tuple[float, float]]) -> list[tuple[float, float]]:
-    merged: list[tuple[float, float]] = []
-    for low, high in spans:
-        if merged and low <= merged[-1][1]:
-            merged[-1] = (merged[-1][0], max(high, merged[-1][1]))
-        else:
-            merged.append((low, high))
-    return merged
-
-
-def _slot(value: Column, bands: list[tuple[float, float]]) -> tuple[Column, Column]:
-    """Even slots are gaps (no value kept), odd slots are bands (value kept)."""
-    slot, keep = F.lit(2 * len(bands)), F.lit(None).cast("double")
-    for j, (low, high) in reversed(list(enumerate(bands))):
-        inside = value <= F.lit(high)
-        below = value < F.lit(low)
-        slot = F.when(below, F.lit(2 * j)).when(inside, F.lit(2 * j + 1)).otherwise(slot)
-        keep = F.when(below, F.lit(None).cast("double")).when(inside, value).otherwise(keep)
-    return F.when(value.isNotNull(), slot).alias("slot"), keep.alias("value")
-
-
-def _read_positions(runs: list[tuple[int, float | None, int]], n: int, probs: list[float]) -> list[float | None] | None:
-    if not n:
-        return [None] * len(probs)
-    ordered = sorted(runs, key=lambda r: (r[0], r[1] if r[1] is not None else 0.0))
-    out: list[float | None] = []
-    for p in probs:
-        pos = (n - 1) * p
-        ends = []
-        for at in (math.floor(pos), math.ceil(pos)):
-            seen, value = 0, None
-            for _, v, m in ordered:
-                if at < seen + m:
-                    value = v
-                    break
-                seen += m
-            if value is None:
-                return None
-            ends.append(value)
-        out.append(ends[0] + (ends[1] - ends[0]) * (pos - math.floor(pos)))
-    return out
-
-
-def wide_quantiles(df: DataFrame, cols: Sequence[str], named: dict[str, float], by: Sequence[str]) -> DataFrame:
-    """One row per group with columns `<col>_<name>`."""
-    table = quantiles(df, cols, list(named.values()), by)
-    picks = [
-        F.max(F.when((F.col("column") == c) & (F.col("prob") == float(p)), F.col("value"))).alias(f"{c}_{label}")
-        for c in cols
-        for label, p in named.items()
-    ]
-    return table.groupBy(*by).agg(*picks)
+    exact = {(r["column"], r["prob"]): r["value"] for r in quantiles(df, cols, probs, bins=bins).collect()}
+    return {c: [exact.get((c, p)) for p in probs] for c in cols}

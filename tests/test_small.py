@@ -1,14 +1,6 @@
 from pyspark.sql import functions as F
 
 from retenta.operators.transactions import customer_orders
-from retenta.plans.small import bounded_table
-
-
-def test_large_tables_stay_distributed(spark):
-    df = spark.range(50)
-    assert bounded_table(df, 10) is df
-    small = bounded_table(df, 50)
-    assert small is not df and small.count() == 50 and small.schema == df.schema
 
 
 def test_customer_orders_keeps_all_customers(spark):

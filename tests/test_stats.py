@@ -78,3 +78,29 @@ def test_cramers_v_of_identical_columns_is_one(spark):
     df = spark.createDataFrame([(v, v, "k") for v in "aaabbbccc"], "x string, y string, z string")
     got = {(r["col1"], r["col2"]): r["v"] for r in S.cramers_v_pairs(df, ["x", "y", "z"]).collect()}
     assert got["x", "y"] == pytest.approx(1.0) and got["x", "z"] == 0.0 and got["z", "z"] == 1.0
+
+
+def test_mann_whitney_exact_counts_arrangements():
+    from itertools import combinations
+
+    from retenta.functions.pvalues import mann_whitney_exact
+
+    for n1, n2 in ((1, 5), (3, 4), (4, 6), (7, 3)):
+        us = [sum(c) - n1 * (n1 + 1) // 2 for c in combinations(range(1, n1 + n2 + 1), n1)]
+        for u in range(n1 * n2 + 1):
+            top = max(u, n1 * n2 - u)
+            want = min(1.0, 2 * sum(x >= top for x in us) / len(us))
+            assert abs(mann_whitney_exact(u, n1, n2) - want) < 1e-12
+    assert 0 < mann_whitney_exact(8 * 10**12 * 0.1, 8, 10**12) < 0.01  # large groups cost no memory
+
+
+def test_fisher_sums_the_tails():
+    from math import comb
+
+    from retenta.functions.pvalues import fisher_two_sided
+
+    for a, b, c, d in ((8, 2, 1, 5), (3, 3, 3, 3), (0, 10, 12, 2), (1, 0, 0, 1), (5, 0, 7, 0), (20, 31, 44, 9)):
+        r1, r2, c1 = a + b, c + d, a + c
+        p = {k: comb(r1, k) * comb(r2, c1 - k) / comb(r1 + r2, c1) for k in range(max(0, c1 - r2), min(r1, c1) + 1)}
+        want = min(1.0, sum(v for v in p.values() if v <= p[a] * (1 + 1e-7)))
+        assert abs(fisher_two_sided(a, b, c, d) - want) < 1e-9

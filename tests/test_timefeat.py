@@ -91,3 +91,17 @@ def test_batch_session_window_agrees(spark):
     a = T.sessions(df).groupBy("customer_id").count()
     b = ST.session_totals(df).groupBy("customer_id").count().withColumnRenamed("count", "k")
     assert a.join(b, "customer_id").where("count = k").count() == a.count()
+
+
+def test_rolling_sums_keep_small_values_after_large_ones(spark):
+    at = lambda day: dt.datetime(2024, 1, 1, 12) + dt.timedelta(days=day)
+    rows = [(1, 1, at(0), 1e16), (2, 1, at(8), 0.1), (3, 1, at(9), 0.2), (4, 1, at(15), 0.4), (5, 2, at(9), 5.0),
+            (6, 1, at(22), 0.8), (7, 1, None, 1.0), (8, 2, at(16), None)]
+    df = spark.createDataFrame(rows, "id long, customer_id long, ts timestamp, amount double")
+    tx = Transactions(customer="customer_id", date="ts", value="amount")
+    got = {r["id"]: r for r in T.rolling_features(df, (7,), tx).collect()}
+    assert len(got) == len(rows)
+    for i, want in {1: 1e16, 2: 0.1, 3: 0.1 + 0.2, 4: 0.2 + 0.4, 5: 5.0, 6: 0.8}.items():
+        assert got[i]["rolling_7d_sum"] == want
+    assert [got[i]["rolling_7d_count"] for i in (1, 2, 3, 4, 5, 6, 8)] == [1, 1, 2, 2, 1, 1, 0]
+    assert got[7]["rolling_7d_sum"] is None and got[8]["rolling_7d_sum"] is None

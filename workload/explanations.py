@@ -77,13 +77,13 @@ def interaction_strengths(t):
 @query("partial_dependence")
 def partial_dependence(t):
     s, score = prepared(t)
-    return X.partial_dependence(s, FEATURES, score, points=10)
+    return X.partial_dependence(s, FEATURES, score)
 
 
 @query("local_surrogate")
 def local_surrogate(t):
     s, score = prepared(t)
-    return X.local_surrogate(s, "customer_id", FEATURES, score, samples=30)
+    return X.local_surrogate(s, "customer_id", FEATURES, score)
 
 
 @query("combined_explanations")
@@ -96,4 +96,4 @@ def combined_explanations(t):
 
 @query("isolation_outliers")
 def isolation_outliers_query(t):
-    return isolation_outliers(scored(t).select("customer_id", "frequency", "monetary", "balance"), "customer_id", ["frequency", "monetary", "balance"], trees=20)
+    return isolation_outliers(scored(t).select("customer_id", "frequency", "monetary", "balance"), "customer_id", ["frequency", "monetary", "balance"])
