@@ -12,12 +12,12 @@ COLS = ["frequency", "monetary", "balance"]
 
 @query("kmeans_segments")
 def kmeans_segments(t):
-    return G.kmeans_segments(scored(t), "customer_id", COLS, 4, restarts=10)
+    return G.kmeans_segments(scored(t), "customer_id", COLS, 4)
 
 
 @query("choose_k")
 def choose_k(t):
-    return G.choose_k(scored(t), "customer_id", COLS, max_clusters=10, restarts=10)
+    return G.choose_k(scored(t), "customer_id", COLS)
 
 
 @query("hierarchical_segments")
