@@ -113,8 +113,9 @@ def fit(docs: DataFrame, sample: int = SAMPLE, seed: int = SEED) -> LanguageFilt
 
     rows = known.where(sampled(F.col("doc_id"), share, seed)).select("text", "lang")
     total = rows.mapInArrow(count, "l int, gram long, n long").groupBy("l", "gram").agg(F.sum("n").alias("n"))
-    size = F.sum("n").over(_by("l"))
-    shares = total.withColumn("share", F.col("n") / size)
+    # one row per language, as in `have`; a window would put all n-grams of a language into one task
+    sizes = total.groupBy("l").agg(F.sum("n").alias("size"))
+    shares = total.join(F.broadcast(sizes), "l").withColumn("share", F.col("n") / F.col("size"))
     kept = shares.where(F.col("share") >= LEAST_SHARE).withColumn("most", F.max("share").over(_by("gram")))
     found = kept.where(F.col("share") >= LEAST_RATIO * F.col("most")).select("l", "gram").toPandas()
     return LanguageFilters.build(languages, [found["gram"][found["l"] == i].to_numpy().astype(np.int64).view(np.uint64) for i in range(len(languages))])
