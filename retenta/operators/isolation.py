@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, functions as F
 from retenta.operators.transform import _fill
 from retenta.params import OutlierParams
 from retenta.plans.quantiles import fit_quantiles
+from retenta.session import settle
 
 EULER = 0.5772156649015329
 
@@ -87,6 +88,7 @@ def isolation_outliers(df: DataFrame, ident: str, cols: Sequence[str], trees: in
 
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema.fields) + ", anomaly_score double"
     wide = df.withColumns({f"_x_{c}": F.coalesce(F.col(c).cast("double"), F.lit(fill[c])) for c in cols})
-    scored = wide.mapInPandas(score, schema)
+    # settled, so that the quantile passes and the result do not score again
+    scored = settle(wide.mapInPandas(score, schema), "isolation-scores")
     cut = fit_quantiles(scored, ["anomaly_score"], [1 - params.contamination])["anomaly_score"][0]
     return scored.withColumn("is_outlier", F.col("anomaly_score") > F.lit(cut))
