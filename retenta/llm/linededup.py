@@ -17,7 +17,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from retenta.llm.common import BLANK, table
+from retenta.llm.common import table
 
 LEAST_TOKENS = 3      # shorter lines always stay
 LEADING = 3           # leading tokens on the way to a leaf
@@ -28,7 +28,11 @@ _WITH_DIGIT = r"(?<![^\x20\x09-\x0D])[^\x20\x09-\x0D0-9]*+[0-9][^\x20\x09-\x0D]*
 
 def _masked(line: Column) -> Column:
     """The line's tokens, joined by single spaces, each token with a digit as a variable field."""
-    plain = F.regexp_replace(F.trim(line, F.lit(" \t\n\x0b\f\r")), r"[\x20\x09-\x0D]{2,}|[\x09-\x0D]", " ")
+    bare = F.trim(line, F.lit(" \t\n\x0b\f\r"))
+    uneven = F.lit(False)
+    for gap in ("  ", "\t", "\x0b", "\f", "\r"):  # looked for as bytes; few lines need the pattern
+        uneven = uneven | F.contains(line, F.lit(gap))
+    plain = F.when(uneven, F.regexp_replace(bare, r"[\x20\x09-\x0D]{2,}|[\x09-\x0D]", " ")).otherwise(bare)
     return F.when(line.rlike("[0-9]"), F.regexp_replace(plain, _WITH_DIGIT, FIELD)).otherwise(plain)
 
 
@@ -38,18 +42,23 @@ def _two_hashes(*cols: Column) -> tuple[Column, Column]:
 
 
 def _lines(docs: DataFrame) -> DataFrame:
-    """(doc_id, row, pos, n, leaf, h1, h2) of every line that can be dropped; row tells rows of one id apart."""
+    """(doc_id, row, pos, leaf, h1, h2) of every line; row tells rows of one id apart.
+
+    Lines that always stay have null hashes and are left out by the reader: a
+    filter here would be pushed below the patterns and run them again.
+    """
     lines = docs.where(F.col("doc_id").isNotNull()).select(
         "doc_id", F.xxhash64("text").alias("row"), F.posexplode(F.split("text", "\n")).alias("pos", "line"))
-    cut = lines.select("doc_id", "row", "pos", _masked(F.col("line")).alias("whole")).where(F.col("whole") != "")
-    n = F.length("whole") - F.length(F.replace("whole", F.lit(" "), F.lit(""))) + 1
-    named = cut.select("doc_id", "row", "pos", "whole", n.alias("n"), F.substring_index("whole", " ", LEADING).alias("head"))
+    cut = lines.select("doc_id", "row", "pos", _masked(F.col("line")).alias("whole"))
+    n = F.octet_length("whole") - F.octet_length(F.replace("whole", F.lit(" "), F.lit(""))) + 1
+    long = (F.col("whole") != "") & (n >= LEAST_TOKENS)
     h1, h2 = _two_hashes(F.col("whole"))
-    return named.where(F.col("n") >= LEAST_TOKENS).select("doc_id", "row", "pos", "n", F.xxhash64("n", "head").alias("leaf"), h1.alias("h1"), h2.alias("h2"))
+    leaf = F.xxhash64(n, F.substring_index("whole", " ", LEADING))
+    return cut.select("doc_id", "row", "pos", F.when(long, leaf).alias("leaf"), F.when(long, h1).alias("h1"), F.when(long, h2).alias("h2"))
 
 
-def _templates(docs: DataFrame, distinct: DataFrame) -> DataFrame:
-    """(leaf, h1, h2, g1, g2): the template of each line that has one with variable fields, or could have.
+def _templates(texts: DataFrame, distinct: DataFrame) -> DataFrame:
+    """(leaf, h1, h2, g1, g2, lo, hi): the template of each line that has one with variable fields, or could have.
 
     Only leaves that hold different lines of different documents are looked at.
     """
@@ -57,30 +66,37 @@ def _templates(docs: DataFrame, distinct: DataFrame) -> DataFrame:
     wanted = distinct.join(mixed.where((F.col("kinds") > 1) & (F.col("a") != F.col("z"))).select("leaf"), "leaf", "left_semi")
     by_doc = wanted.groupBy(F.col("first.doc_id").alias("doc_id"), F.col("first.row").alias("row")).agg(
         F.collect_list(F.struct(F.col("first.pos").alias("pos"), "leaf", "h1", "h2", "lo", "hi")).alias("wanted"))  # a document's own lines
-    texts = docs.select("doc_id", F.xxhash64("text").alias("row"), "text")
-    lines = texts.join(by_doc, ["doc_id", "row"]).select(F.split("text", "\n").alias("lines"), F.explode("wanted").alias("w"))
-    cut = lines.select("w.leaf", "w.h1", "w.h2", "w.lo", "w.hi", F.split(_masked(F.get("lines", F.col("w.pos"))), " ").alias("tokens"))
-    once = table(cut.dropDuplicates(["leaf", "h1", "h2"]), "tokens")  # rows that repeat a document bring its lines again
+    own = texts.select("doc_id", "row", "lines").join(by_doc, ["doc_id", "row"]).select(
+        F.explode(F.transform("wanted", lambda w: F.struct(w.alias("w"), F.get("lines", w["pos"]).alias("line")))).alias("own"))
+    cut = own.select("own.w.leaf", "own.w.h1", "own.w.h2", F.struct("own.w.lo", "own.w.hi", F.split(_masked(F.col("own.line")), " ").alias("tokens")).alias("one"))
+    # rows that repeat a document bring its lines again; the readers below share this shuffle, so all name the same non-null columns
+    cut = cut.where("leaf is not null and h1 is not null and h2 is not null")
+    once = cut.groupBy("leaf", "h1", "h2").agg(F.first("one").alias("one")).select("leaf", "h1", "h2", "one.lo", "one.hi", "one.tokens")
     place = F.explode(F.transform("tokens", lambda t, i: F.when(t != FIELD, F.xxhash64(i, t)))).alias("at")
     held = once.select("leaf", "lo", "hi", place).where("at is not null").groupBy("leaf", "at").agg(F.min("lo").alias("a"), F.max("hi").alias("z"))
     constant = held.where(F.col("a") != F.col("z")).select("leaf", "at")
     # a template is the set of its constants, as an exclusive or of two hashes of each
-    shapes = once.select("leaf", "h1", "h2", F.size("tokens").alias("n"), place).join(constant, ["leaf", "at"]).groupBy("leaf", "h1", "h2", "n").agg(
-        F.count(F.lit(1)).alias("fixed"), F.bit_xor("at").alias("g1"), F.bit_xor(F.xxhash64(F.lit(7), "at")).alias("g2"))
-    general = shapes.where(F.col("fixed") * 10 >= F.col("n") * CONSTANT_TENTHS)
-    return general.select("leaf", "h1", "h2", "g1", "g2")
+    shapes = once.select("leaf", "h1", "h2", F.size("tokens").alias("n"), place).join(constant, ["leaf", "at"]).groupBy("leaf", "h1", "h2").agg(
+        F.min("n").alias("n"), F.count(F.lit(1)).alias("fixed"), F.bit_xor("at").alias("g1"), F.bit_xor(F.xxhash64(F.lit(7), "at")).alias("g2"))
+    general = shapes.where(F.col("fixed") * 10 >= F.col("n") * CONSTANT_TENTHS).select("leaf", "h1", "h2", "g1", "g2")
+    return general.join(once.select("leaf", "h1", "h2", "lo", "hi"), ["leaf", "h1", "h2"])
+
 
+def recurring_lines(docs: DataFrame, texts: DataFrame) -> DataFrame:
+    """(doc_id, row, dropped): places of the lines that recur, for every document that loses some.
 
-def recurring_lines(docs: DataFrame) -> DataFrame:
-    """(doc_id, row, dropped): places of the lines that recur, for every document that loses some."""
-    lines = table(_lines(docs), "lines")
+    texts holds (doc_id, row, lines) of every document that has an id.  A line
+    recurs as it is, or by its template; its home is the smallest document of both.
+    """
+    lines = table(_lines(docs), "lines").where("h1 is not null")
     distinct = table(lines.groupBy("leaf", "h1", "h2").agg(
-        F.min("doc_id").alias("lo"), F.max("doc_id").alias("hi"), F.min(F.struct("doc_id", "row", "pos")).alias("first")), "distinct-lines")
-    known = distinct.join(_templates(docs, distinct), ["leaf", "h1", "h2"], "left").select(
-        "leaf", "h1", "h2", "lo", "hi", F.coalesce("g1", "h1").alias("g1"), F.coalesce("g2", "h2").alias("g2"))
+        F.max("doc_id").alias("hi"), F.min(F.struct("doc_id", "row", "pos")).alias("first")), "distinct-lines").withColumn("lo", F.col("first.doc_id"))
+    alike = distinct.where(F.col("lo") != F.col("hi")).select("h1", "h2", F.col("lo").alias("home"))
+    known = _templates(texts, distinct)
     groups = known.groupBy("leaf", "g1", "g2").agg(F.min("lo").alias("home"), F.max("hi").alias("last"))
-    again = known.join(groups.where(F.col("home") != F.col("last")), ["leaf", "g1", "g2"]).select("leaf", "h1", "h2", "home")
-    gone = lines.join(again, ["leaf", "h1", "h2"]).where(F.col("doc_id") > F.col("home"))
+    shaped = known.join(groups.where(F.col("home") != F.col("last")), ["leaf", "g1", "g2"]).select("h1", "h2", "home")
+    again = alike.unionByName(shaped).groupBy("h1", "h2").agg(F.min("home").alias("home"))
+    gone = lines.join(again, ["h1", "h2"]).where(F.col("doc_id") > F.col("home"))  # equal lines are in one leaf
     return gone.groupBy("doc_id", "row").agg(F.collect_set("pos").alias("dropped"))
 
 
@@ -91,16 +107,21 @@ def drop_lines(docs: DataFrame) -> DataFrame:
     Null texts stay null (0 lines), rows without doc_id stay whole and count
     for nothing.  Lines repeated within one document only do not recur.  Rows
     that repeat an id are one document.
+
+    Texts are dealt by document once, as arrays of lines, for the tokens of
+    look-alike lines and for the drop alike: both joins read one shuffle.
     """
-    others = [c for c in docs.columns if c not in ("doc_id", "text", "n_lines", "n_dropped")]
-    keyed = docs.select("doc_id", "text", *others, F.xxhash64("text").alias("dedup_row"))
-    gone = recurring_lines(docs.select("doc_id", "text")).select(F.col("doc_id").alias("dedup_doc"), F.col("row").alias("dedup_hash"), "dropped")
-    met = keyed.join(gone, (F.col("doc_id") == F.col("dedup_doc")) & (F.col("dedup_row") == F.col("dedup_hash")), "left")
-    lines = F.split("text", "\n")
-    kept = F.array_join(F.filter(lines, lambda line, i: ~F.array_contains("dropped", i)), "\n")
-    return met.select(
-        "doc_id", F.when(F.col("dropped").isNull(), F.col("text")).otherwise(kept).alias("text"), *others,
-        F.when(F.col("text").isNull(), 0).otherwise(F.size(lines)).cast("long").alias("n_lines"),
+    others = [F.col(f"`{c}`") for c in docs.columns if c not in ("doc_id", "text", "n_lines", "n_dropped")]
+    rest = [F.struct(*others).alias("rest")] if others else []  # no name of another column can clash
+    texts = docs.select("doc_id", F.xxhash64("text").alias("row"), F.split("text", "\n").alias("lines"), *rest)
+    named = texts.where(F.col("doc_id").isNotNull())
+    met = named.join(recurring_lines(docs.select("doc_id", "text"), named), ["doc_id", "row"], "left")
+    nameless = texts.where(F.col("doc_id").isNull()).withColumn("dropped", F.lit(None).cast("array<int>"))
+    every = met.unionByName(nameless)
+    kept = F.when(F.col("dropped").isNull(), F.col("lines")).otherwise(F.filter("lines", lambda line, i: ~F.array_contains("dropped", i)))
+    return every.select(
+        "doc_id", F.array_join(kept, "\n").alias("text"), *(["rest.*"] if rest else []),
+        F.when(F.col("lines").isNull(), 0).otherwise(F.size("lines")).cast("long").alias("n_lines"),
         F.when(F.col("dropped").isNull(), 0).otherwise(F.size("dropped")).cast("long").alias("n_dropped"))
 
 
