@@ -12,9 +12,21 @@ from retenta.session import settle
 BLANK = r"[\x20\x09-\x0D]+"
 
 
+_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
 def table(df: DataFrame, name: str) -> DataFrame:
-    """df written to the shared folder and read back; `release` removes it again."""
-    out = settle(df, f"llm-{name}")
+    """df written to the shared folder and read back; `release` removes it again.
+
+    The shuffle files of the write go when it ends: nothing reads them once the table is there.
+    """
+    conf = df.sparkSession.conf
+    before = conf.get(_CLEANUP, "false")
+    conf.set(_CLEANUP, "true")
+    try:
+        out = settle(df, f"llm-{name}")
+    finally:
+        conf.set(_CLEANUP, before)
     out._settled = [f.rsplit("/", 1)[0] for f in out.inputFiles()[:1]]
     return out
 

@@ -68,10 +68,10 @@ def _templates(texts: DataFrame, distinct: DataFrame) -> DataFrame:
         F.collect_list(F.struct(F.col("first.pos").alias("pos"), "leaf", "h1", "h2", "lo", "hi")).alias("wanted"))  # a document's own lines
     own = texts.select("doc_id", "row", "lines").join(by_doc, ["doc_id", "row"]).select(
         F.explode(F.transform("wanted", lambda w: F.struct(w.alias("w"), F.get("lines", w["pos"]).alias("line")))).alias("own"))
-    cut = own.select("own.w.leaf", "own.w.h1", "own.w.h2", F.struct("own.w.lo", "own.w.hi", F.split(_masked(F.col("own.line")), " ").alias("tokens")).alias("one"))
+    cut = own.select("own.w.leaf", "own.w.h1", "own.w.h2", F.struct("own.w.lo", "own.w.hi", _masked(F.col("own.line")).alias("whole")).alias("one"))
     # rows that repeat a document bring its lines again; the readers below share this shuffle, so all name the same non-null columns
     cut = cut.where("leaf is not null and h1 is not null and h2 is not null")
-    once = cut.groupBy("leaf", "h1", "h2").agg(F.first("one").alias("one")).select("leaf", "h1", "h2", "one.lo", "one.hi", "one.tokens")
+    once = cut.groupBy("leaf", "h1", "h2").agg(F.first("one").alias("one")).select("leaf", "h1", "h2", "one.lo", "one.hi", F.split("one.whole", " ").alias("tokens"))
     place = F.explode(F.transform("tokens", lambda t, i: F.when(t != FIELD, F.xxhash64(i, t)))).alias("at")
     held = once.select("leaf", "lo", "hi", place).where("at is not null").groupBy("leaf", "at").agg(F.min("lo").alias("a"), F.max("hi").alias("z"))
     constant = held.where(F.col("a") != F.col("z")).select("leaf", "at")
