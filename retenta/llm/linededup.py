@@ -68,18 +68,21 @@ def _templates(texts: DataFrame, distinct: DataFrame) -> DataFrame:
         F.collect_list(F.struct(F.col("first.pos").alias("pos"), "leaf", "h1", "h2", "lo", "hi")).alias("wanted"))  # a document's own lines
     own = texts.select("doc_id", "row", "lines").join(by_doc, ["doc_id", "row"]).select(
         F.explode(F.transform("wanted", lambda w: F.struct(w.alias("w"), F.get("lines", w["pos"]).alias("line")))).alias("own"))
-    cut = own.select("own.w.leaf", "own.w.h1", "own.w.h2", F.struct("own.w.lo", "own.w.hi", _masked(F.col("own.line")).alias("whole")).alias("one"))
+    cut = own.select("own.w.h1", "own.w.h2", F.struct("own.w.leaf", "own.w.lo", "own.w.hi", _masked(F.col("own.line")).alias("whole")).alias("one"))
     # rows that repeat a document bring its lines again; the readers below share this shuffle, so all name the same non-null columns
-    cut = cut.where("leaf is not null and h1 is not null and h2 is not null")
-    once = cut.groupBy("leaf", "h1", "h2").agg(F.first("one").alias("one")).select("leaf", "h1", "h2", "one.lo", "one.hi", F.split("one.whole", " ").alias("tokens"))
-    place = F.explode(F.transform("tokens", lambda t, i: F.when(t != FIELD, F.xxhash64(i, t)))).alias("at")
+    cut = cut.where("h1 is not null and h2 is not null")
+    once = cut.groupBy("h1", "h2").agg(F.first("one").alias("one")).select("h1", "h2", "one.leaf", "one.lo", "one.hi", F.split("one.whole", " ").alias("tokens"))
+    # a leaf's leading tokens are constant: all its lines have them, and they come from several documents
+    place = F.explode(F.slice(F.transform("tokens", lambda t, i: F.when(t != FIELD, F.xxhash64(i, t))), LEADING + 1, F.size("tokens"))).alias("at")
     held = once.select("leaf", "lo", "hi", place).where("at is not null").groupBy("leaf", "at").agg(F.min("lo").alias("a"), F.max("hi").alias("z"))
     constant = held.where(F.col("a") != F.col("z")).select("leaf", "at")
     # a template is the set of its constants, as an exclusive or of two hashes of each
-    shapes = once.select("leaf", "h1", "h2", F.size("tokens").alias("n"), place).join(constant, ["leaf", "at"]).groupBy("leaf", "h1", "h2").agg(
-        F.min("n").alias("n"), F.count(F.lit(1)).alias("fixed"), F.bit_xor("at").alias("g1"), F.bit_xor(F.xxhash64(F.lit(7), "at")).alias("g2"))
-    general = shapes.where(F.col("fixed") * 10 >= F.col("n") * CONSTANT_TENTHS).select("leaf", "h1", "h2", "g1", "g2")
-    return general.join(once.select("leaf", "h1", "h2", "lo", "hi"), ["leaf", "h1", "h2"])
+    shapes = once.select("leaf", "h1", "h2", place).join(constant, ["leaf", "at"]).groupBy("h1", "h2").agg(
+        F.count(F.lit(1)).alias("later"), F.bit_xor("at").alias("g1"), F.bit_xor(F.xxhash64(F.lit(7), "at")).alias("g2"))
+    leading = F.size(F.filter(F.slice("tokens", 1, LEADING), lambda t: t != FIELD))
+    met = once.join(shapes, ["h1", "h2"], "left").withColumn("fixed", leading + F.coalesce("later", F.lit(0)))
+    return met.where(F.col("fixed") * 10 >= F.size("tokens") * CONSTANT_TENTHS).select(
+        "leaf", "h1", "h2", F.coalesce("g1", F.lit(0)).alias("g1"), F.coalesce("g2", F.lit(0)).alias("g2"), "lo", "hi")
 
 
 def recurring_lines(docs: DataFrame, texts: DataFrame) -> DataFrame:
