@@ -93,6 +93,16 @@ def test_packing_round_trip(spark):
     assert packing.pack(odd(spark).limit(0), path, public_tokenizers.PATTERN).count() == 0
 
 
+def test_packing_encodes_as_tokenizers_does():
+    from tokenizers import Tokenizer
+
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    own, mine = Tokenizer.from_file(path), packing.encoder(path, public_tokenizers.PATTERN)
+    for text in ("one <|endoftext|> two", "<|endoftext|>" * 3, "a<|endoftext|", "a" + "\n" * 1_100_000 + "b", " " * 1_100_000, " \n" * 600_000 + "x", "after"):
+        assert mine.encode(text) == own.encode(text, add_special_tokens=False).ids
+    assert mine.encode("one <|endoftext|> two")[2] == 50256 and mine.n_vocab == 50257
+
+
 def test_language(spark):
     docs = spark.read.parquet(f"{DATA}/documents.parquet")
     truth = {r["doc_id"]: r["lang"] for r in docs.collect()}
