@@ -1,12 +1,14 @@
 """Visible text of web pages, laid out as a browser would space it.
 
 A tolerant tokenizer feeds a tree builder that closes elements where the markup
-implies it (paragraphs, list items, table parts, options) and ignores end tags
-without a start.  The tree is walked without recursion: blocks start new lines,
-paragraphs, headings, lists and tables are set off by a blank line, list items
-get marks and indents, table cells are aligned in columns, white space
-collapses outside `pre`.  Invisible are comments, the head, scripts, styles and
-other raw content, and elements that are hidden by attribute or inline style.
+implies it (the head, paragraphs, list items, table parts, options) and ignores
+end tags without a start.  The tree is walked without recursion: blocks start
+new lines, paragraphs, headings, lists and tables are set off by a blank line,
+list items get marks and indents, table cells are aligned in columns, white
+space collapses outside `pre`.  SVG and MathML give their text, but for what
+they do not draw (descriptions, definitions, annotations).  Invisible are
+comments, the head, scripts, styles and other raw content, and elements that
+are hidden by attribute or inline style.
 """
 
 from __future__ import annotations
@@ -23,7 +25,7 @@ from pyspark.sql import DataFrame, functions as F
 # Fixed values of the HTML standard.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 RAW = frozenset("script style textarea title xmp iframe noembed noframes noscript".split())
-UNSEEN = frozenset("head script style template title noscript iframe noembed noframes object audio video canvas svg math datalist meta link base param source track".split())
+UNSEEN = frozenset("head script style template title noscript iframe noembed noframes object audio video canvas datalist meta link base param source track".split())
 BLOCK = frozenset("""address article aside blockquote body center dd details dialog dir div dl dt fieldset figcaption figure footer form
 h1 h2 h3 h4 h5 h6 header hgroup hr html legend li main menu nav ol optgroup option p pre search section summary table ul caption
 tbody thead tfoot tr td th""".split())
@@ -46,7 +48,14 @@ CLOSES = {
     "body": (("head",), ("html",)),
 }
 SCOPE = frozenset("table td th caption html template button".split())
-FLOW = frozenset("body div p h1 h2 h3 h4 h5 h6 ul ol table article section nav main header footer aside".split())
+# Start tags that leave an open head open; any other one, and text, closes it.
+HEAD = frozenset("base link meta title style script noscript noframes template".split())
+# In SVG and MathML: what is not drawn, the start tags that end such a part, and the elements in which HTML goes on.
+FOREIGN = ("svg", "math")
+UNDRAWN = frozenset("desc metadata defs symbol clippath mask marker pattern lineargradient radialgradient annotation annotation-xml".split())
+BREAKS_OUT = frozenset("""b big blockquote body br center code dd div dl dt em embed h1 h2 h3 h4 h5 h6 head hr i img li listing menu meta nobr
+ol p pre ruby s small span strong strike sub sup table tt u ul var""".split())
+WITH_HTML = ("foreignobject", "desc", "annotation-xml", "mi", "mo", "mn", "ms", "mtext")
 
 _TAG = re.compile(
     r"<!--(?:.*?-->|.*)|<!\[CDATA\[(?P<cdata>.*?)\]\]>|<[!?][^>]*>?|</(?P<end>[a-zA-Z][^\s/>]*)[^>]*>?"
@@ -99,17 +108,25 @@ def parse(page: str) -> Node:
         if found:
             cut(found)
 
+    def foreign() -> bool:
+        return bool(opened["svg"] or opened["math"]) and not opened["foreignobject"]
+
+    def write(text: str) -> None:
+        if stack[-1].tag == "head" and text.strip(" \t\n\r\f"):
+            cut(len(stack) - 1)
+        stack[-1].children.append(text)
+
     at, n = 0, len(page)
     while at < n:
         m = _TAG.search(page, at)
         text = page[at:m.start() if m else n]
         if text:
-            stack[-1].children.append(entities.unescape(text) if "&" in text else text)
+            write(entities.unescape(text) if "&" in text else text)
         if not m:
             break
         at = max(m.end(), m.start() + 1)
         if m["cdata"]:
-            stack[-1].children.append(m["cdata"])
+            write(m["cdata"])
         elif m["end"]:
             tag = m["end"].lower()
             if tag in ("br", "p") and not opened[tag]:
@@ -126,12 +143,16 @@ def parse(page: str) -> Node:
             attrs = _attributes(m["attrs"])
             if tag in ENDS_P:
                 close(("p",), SCOPE)
-            if tag in FLOW and opened["head"]:
-                close(("head",), ("html",))
+            if stack[-1].tag == "head" and tag not in HEAD:
+                cut(len(stack) - 1)
+            if tag in BREAKS_OUT:
+                close(FOREIGN, WITH_HTML)
             if tag in CLOSES:
                 close(*CLOSES[tag])
             node = Node(tag, attrs)
             stack[-1].children.append(node)
+            if (tag in FOREIGN or foreign()) and (m["attrs"] or "").endswith("/"):
+                continue
             if tag in RAW:
                 end = re.compile(rf"</{re.escape(tag)}(?=[\s/>])[^>]*>?", re.I).search(page, at)
                 inner = page[at:end.start() if end else n]
@@ -236,7 +257,7 @@ def render(root: Node) -> str:
     page = Page()
     pages, grids = [page], []
     lists: list[list] = []  # [ordered, next number, indent outside]
-    pre = 0
+    pre = foreign = 0
     todo: list = [(root, 0)]
     while todo:
         node, leaving = todo.pop()
@@ -246,7 +267,7 @@ def render(root: Node) -> str:
             continue
         tag = node.tag
         if not leaving:
-            if hidden(node):
+            if hidden(node) or foreign and tag in UNDRAWN:
                 continue
             if tag == "br":
                 out.end(True)
@@ -255,7 +276,7 @@ def render(root: Node) -> str:
                 continue
             if tag in SPACED and not (tag in ("ul", "ol", "menu", "dir") and lists):
                 out.gap()
-            elif tag in BLOCK:
+            elif tag in BLOCK or foreign and tag == "text":
                 out.end()
             if tag in ("ul", "ol", "menu", "dir"):
                 start = node.attrs.get("start", "1")
@@ -272,6 +293,8 @@ def render(root: Node) -> str:
                 out.indent += "  "
             elif tag == "pre":
                 pre += 1
+            elif tag in FOREIGN:
+                foreign += 1
             elif tag == "table":
                 grids.append(Grid())
             elif tag == "tr" and grids:
@@ -296,6 +319,8 @@ def render(root: Node) -> str:
                 out.end(True)
         elif tag == "pre":
             pre -= 1
+        elif tag in FOREIGN:
+            foreign -= 1
         elif tag in ("ul", "ol", "menu", "dir") and lists:
             out.end()
             _, _, out.indent, out.mark = lists.pop()
@@ -305,7 +330,7 @@ def render(root: Node) -> str:
             out.mark = ""
         if tag in SPACED and not (tag in ("ul", "ol", "menu", "dir") and lists):
             out.gap()
-        elif tag in BLOCK:
+        elif tag in BLOCK or foreign and tag == "text":
             out.end()
         if tag in ("blockquote", "dd"):
             out.indent = out.indent[:-2]

@@ -188,6 +188,17 @@ def test_html_layout(spark):
     assert got[5][1].startswith("a < b & c") and html.extract(df.limit(0)).count() == 0
 
 
+def test_html_text_outside_the_usual_tags():
+    for part in ("<form>seen</form>", "<center>seen</center>", "<pre>seen</pre>", "<dl><dt>seen</dl>", "<blockquote>seen</blockquote>", "<a href=x>seen</a>", "seen"):
+        for head in ("<head><title>t</title>", "<html><head><meta charset=x>\n<style>s</style>", "<body><head>"):
+            assert html.extract_text(head + part).strip() == "seen"
+    assert html.extract_text("<head><template><div>no</div>no</template><title>t</title></head>yes") == "yes"
+    assert html.extract_text("<p>so <math><mi>x</mi><mo>=</mo><mn>2</mn><annotation>x</annotation></math> holds") == "so x=2 holds"
+    drawing = "<svg><title>t</title><defs/><script href=x /><desc>d</desc><g><text>Q1</text><text>Q2</text></g><path d='x'/></svg>"
+    assert html.extract_text(f"<div>a</div>{drawing}<p>b") == "a\nQ1\nQ2\n\nb"
+    assert html.extract_text("<svg><defs><p>out") == "out" and html.extract_text("<svg><defs><text>no</defs><text>in") == "in"
+
+
 def test_html_text_round_trip():
     rng = np.random.default_rng(1)
     for _ in range(50):
