@@ -90,6 +90,11 @@ class LanguageFilters:
         best = int(count.argmax())
         return self.languages[best], float(count[best] / count.sum()) if count.sum() else 0.0
 
+    def recognised(self, text: str | None) -> float:
+        """The share of a text's own n-grams that its language contains; other languages, however many, do not lower it."""
+        n, count = self.counts(text) if text and self.languages else (0, np.zeros(0))
+        return float(count.max() / n) if n else 0.0
+
 
 def fit(docs: DataFrame, sample: int = SAMPLE, seed: int = SEED) -> LanguageFilters:
     """Filters from (doc_id, text, lang); uses about `sample` documents of each language, whole texts.
@@ -159,9 +164,10 @@ def identify(docs: DataFrame) -> DataFrame:
 
 
 def reject_unknown(docs: DataFrame, least: float = 0.3) -> DataFrame:
-    """Documents, with all their columns, whose language is known with a score of `least` or more.
+    """Documents, with all their columns, of whose n-grams a share of `least` or more belongs to the predicted language.
 
-    The filters learn from the documents' own lang column.
+    The filters learn from the documents' own lang column.  Two values of it
+    for one language do no harm: both contain the same n-grams.
     """
     model = docs.sparkSession.sparkContext.broadcast(fit(docs))
 
@@ -169,7 +175,6 @@ def reject_unknown(docs: DataFrame, least: float = 0.3) -> DataFrame:
     def known(text):
         import pandas as pd
 
-        found = [model.value.predict(t) for t in text]
-        return pd.Series([lang != UNKNOWN and score >= least for lang, score in found])
+        return pd.Series([model.value.recognised(t) >= least for t in text], dtype=bool)
 
     return docs.where(known("text"))

@@ -115,6 +115,17 @@ def test_language(spark):
     assert sorted(r["doc_id"] or 0 for r in langid.reject_unknown(docs.limit(50)).collect()) == sorted(r["doc_id"] for r in docs.limit(50).collect())
 
 
+def test_many_languages_reject_no_known_text(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").where("lang = 'en'")
+    spelt = docs.withColumn("lang", F.concat("lang", F.pmod(F.xxhash64("doc_id"), F.lit(8)).cast("string")))
+    assert spelt.select("lang").distinct().count() == 8
+    assert langid.reject_unknown(spelt).count() == docs.count()
+    base = next(langid.grams("the quick brown fox jumps over the lazy dog"))
+    similar = langid.LanguageFilters.build([f"l{i:02d}" for i in range(24)], [np.concatenate([base[::3], base[1::3], base[2::3][:i % 4]]) for i in range(24)])
+    assert similar.predict("the quick brown fox jumps over the lazy dog")[1] < 0.1 and similar.recognised("the quick brown fox jumps over the lazy dog") > 0.6
+    assert similar.recognised("Zwölf 漢字 ÿÿ") < 0.3 and similar.recognised(None) == similar.recognised("12 34") == 0
+
+
 def test_more_than_64_languages_share_one_table():
     rng = np.random.default_rng(0)
     contents = [rng.integers(0, 1 << 62, 300).astype(np.uint64) for _ in range(70)]
