@@ -17,8 +17,8 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All documents, without the lines that recur across them."""
-    cleaned = linededup.drop_lines(docs.select(*COLUMNS))
+    """All documents, without the lines that recur across them, short ones included."""
+    cleaned = linededup.drop_lines(docs.select(*COLUMNS), short=True)
     return cleaned.select("doc_id", "text", "lang", "source", F.length("text").cast("long").alias("n_chars"))
 
 

@@ -19,7 +19,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from retenta.llm.common import table
 
-LEAST_TOKENS = 3      # shorter lines always stay
+LEAST_TOKENS = 3      # shorter lines have no template: they recur as they are, or (the SQL twin's rule) always stay
 LEADING = 3           # leading tokens on the way to a leaf
 CONSTANT_TENTHS = 8   # tenths of a line's tokens that a template must fix
 FIELD = "<*>"
@@ -41,20 +41,23 @@ def _two_hashes(*cols: Column) -> tuple[Column, Column]:
     return F.xxhash64(*cols), F.xxhash64(F.lit(7), *cols)
 
 
-def _lines(docs: DataFrame) -> DataFrame:
+def _lines(docs: DataFrame, short: bool) -> DataFrame:
     """(doc_id, row, pos, leaf, h1, h2) of every line; row tells rows of one id apart.
 
-    Lines that always stay have null hashes and are left out by the reader: a
+    Short lines have no leaf; with `short` they are hashed as they stand, digits
+    and all.  Lines that always stay have null hashes and are left out by the reader: a
     filter here would be pushed below the patterns and run them again.
     """
     lines = docs.where(F.col("doc_id").isNotNull()).select(
         "doc_id", F.xxhash64("text").alias("row"), F.posexplode(F.split("text", "\n")).alias("pos", "line"))
-    cut = lines.select("doc_id", "row", "pos", _masked(F.col("line")).alias("whole"))
+    bare = [F.trim("line", F.lit(" \t\n\x0b\f\r")).alias("bare")] if short else []
+    cut = lines.select("doc_id", "row", "pos", _masked(F.col("line")).alias("whole"), *bare)
     n = F.octet_length("whole") - F.octet_length(F.replace("whole", F.lit(" "), F.lit(""))) + 1
     long = (F.col("whole") != "") & (n >= LEAST_TOKENS)
-    h1, h2 = _two_hashes(F.col("whole"))
+    h1, h2 = _two_hashes(F.when(long, F.col("whole")).otherwise(F.col("bare")) if short else F.col("whole"))
+    hashed = F.col("whole") != "" if short else long
     leaf = F.xxhash64(n, F.substring_index("whole", " ", LEADING))
-    return cut.select("doc_id", "row", "pos", F.when(long, leaf).alias("leaf"), F.when(long, h1).alias("h1"), F.when(long, h2).alias("h2"))
+    return cut.select("doc_id", "row", "pos", F.when(long, leaf).alias("leaf"), F.when(hashed, h1).alias("h1"), F.when(hashed, h2).alias("h2"))
 
 
 def _templates(texts: DataFrame, distinct: DataFrame) -> DataFrame:
@@ -85,13 +88,13 @@ def _templates(texts: DataFrame, distinct: DataFrame) -> DataFrame:
         "leaf", "h1", "h2", F.coalesce("g1", F.lit(0)).alias("g1"), F.coalesce("g2", F.lit(0)).alias("g2"), "lo", "hi")
 
 
-def recurring_lines(docs: DataFrame, texts: DataFrame) -> DataFrame:
+def recurring_lines(docs: DataFrame, texts: DataFrame, short: bool = False) -> DataFrame:
     """(doc_id, row, dropped): places of the lines that recur, for every document that loses some.
 
     texts holds (doc_id, row, lines) of every document that has an id.  A line
     recurs as it is, or by its template; its home is the smallest document of both.
     """
-    lines = table(_lines(docs), "lines").where("h1 is not null")
+    lines = table(_lines(docs, short), "lines").where("h1 is not null")
     distinct = table(lines.groupBy("leaf", "h1", "h2").agg(
         F.max("doc_id").alias("hi"), F.min(F.struct("doc_id", "row", "pos")).alias("first")), "distinct-lines").withColumn("lo", F.col("first.doc_id"))
     alike = distinct.where(F.col("lo") != F.col("hi")).select("h1", "h2", F.col("lo").alias("home"))
@@ -103,13 +106,15 @@ def recurring_lines(docs: DataFrame, texts: DataFrame) -> DataFrame:
     return gone.groupBy("doc_id", "row").agg(F.collect_set("pos").alias("dropped"))
 
 
-def drop_lines(docs: DataFrame) -> DataFrame:
+def drop_lines(docs: DataFrame, short: bool = False) -> DataFrame:
     """docs with their recurring lines dropped, and n_lines and n_dropped (both replaced if they exist).
 
     All rows and other columns stay; a text that loses all its lines is empty.
     Null texts stay null (0 lines), rows without doc_id stay whole and count
     for nothing.  Lines repeated within one document only do not recur.  Rows
-    that repeat an id are one document.
+    that repeat an id are one document.  Lines of fewer than LEAST_TOKENS
+    blank-separated tokens, such as all lines in scripts without blanks, stay
+    unless `short` is set: then they are dropped where they recur exactly.
 
     Texts are dealt by document once, as arrays of lines, for the tokens of
     look-alike lines and for the drop alike: both joins read one shuffle.
@@ -118,7 +123,7 @@ def drop_lines(docs: DataFrame) -> DataFrame:
     rest = [F.struct(*others).alias("rest")] if others else []  # no name of another column can clash
     texts = docs.select("doc_id", F.xxhash64("text").alias("row"), F.split("text", "\n").alias("lines"), *rest)
     named = texts.where(F.col("doc_id").isNotNull())
-    met = named.join(recurring_lines(docs.select("doc_id", "text"), named), ["doc_id", "row"], "left")
+    met = named.join(recurring_lines(docs.select("doc_id", "text"), named, short), ["doc_id", "row"], "left")
     nameless = texts.where(F.col("doc_id").isNull()).withColumn("dropped", F.lit(None).cast("array<int>"))
     every = met.unionByName(nameless)
     kept = F.when(F.col("dropped").isNull(), F.col("lines")).otherwise(F.filter("lines", lambda line, i: ~F.array_contains("dropped", i)))

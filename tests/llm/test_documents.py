@@ -177,6 +177,16 @@ def test_line_templates(spark):
     assert linededup.drop_lines(docs.limit(0)).count() == 0
 
 
+def test_short_lines_recur_as_they_are(spark):
+    rows = [(1, "Les.\n漢字仮名交じり文はここに\nPage 3\n\none line stays here\nLes.", "x", "s", 1), (2, " Les.\n漢字仮名交じり文はここに\nPage 4\n\nof its own kind", "x", "s", 1),
+            (3, "Page 4\n12\n", "x", "s", 1), (4, "13\n \nLes.", "x", "s", 1), (None, "Les.", "x", "s", 1), (5, None, "x", "s", 1)]
+    docs = spark.createDataFrame(rows, DOCS)
+    got = {r["doc_id"]: (r["text"], r["n_dropped"]) for r in linededup.drop_lines(docs, short=True).collect()}
+    assert got == {1: (rows[0][1], 0), 2: ("Page 4\n\nof its own kind", 2), 3: ("12\n", 1), 4: ("13\n ", 1), None: ("Les.", 0), 5: (None, 0)}
+    stage = dict(corpus_pipeline.STAGES)["line_dedup"]
+    assert {r["doc_id"]: r["text"] for r in stage(spark, docs, "").collect()} == {k: v[0] for k, v in got.items()}
+
+
 def test_line_dedup_equals_sql(spark):
     docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
     con = duckdb.connect()
