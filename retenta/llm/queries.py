@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from retenta.llm import collision, egojoin, html, langid, linededup, merkle, mixing, packing, periodic, quality, simhash, toxicity
+from retenta.llm import collision, egojoin, html, langid, license, linededup, merkle, mixing, packing, periodic, quality, simhash, toxicity
 
 
 def _read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -65,9 +65,13 @@ def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return periodic.audit(_read(spark, sf_dir, "documents"))
 
 
+def op13_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license.annotate(_read(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (op1_source_mix, op2_line_dedup, op3_embedding_join, op4_packing, op5_language_id, op6_toxicity,
-                            op7_quality, op8_nearest, op9_simhash, op10_html_text, op11_merkle_manifest, op12_periodic_runs)
+                            op7_quality, op8_nearest, op9_simhash, op10_html_text, op11_merkle_manifest, op12_periodic_runs, op13_license_scan)
 }
 SQL: dict[str, str] = {"op2_line_dedup": linededup.SQL, "op11_merkle_manifest": merkle.SQL,
-                      "op12_periodic_runs": periodic.SQL}
+                      "op12_periodic_runs": periodic.SQL, "op13_license_scan": license.SQL}
