@@ -13,11 +13,13 @@ from itertools import combinations
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
 from retenta.functions.expr import hash_uniform, ratio
 from retenta.operators.splits import sample_rows
 from retenta.plans.quantiles import fit_quantiles
+from retenta.plans.trees import Trees
 
 Scorer = Callable[[DataFrame], DataFrame]
 
@@ -79,6 +81,104 @@ def shapley_attributions(df: DataFrame, ident: str, features: Sequence[str], sco
         (F.sum(F.col("g.sign") * F.col("score")) / F.lit(permutations)).alias("contribution"))
 
 
+def _matrix(batch, first: int, count: int) -> np.ndarray:
+    return np.column_stack([batch.column(first + i).to_numpy(zero_copy_only=False).astype(float) for i in range(count)])
+
+
+def _cells(df: DataFrame, features: Sequence[str], *keep: str) -> DataFrame:
+    return df.select(*keep, *[F.col(f"`{c}`").cast("double").alias(f"_x{i}") for i, c in enumerate(features)])
+
+
+def tree_attributions(df: DataFrame, ident: str, features: Sequence[str], trees: Trees) -> DataFrame:
+    """(id, feature, contribution): exact Shapley values of a tree ensemble's margin, in one pass over the rows.
+
+    A row's contributions add up to its margin less the ensemble's expectation
+    over its training rows.  Values without a number go where the trees send
+    them, to the right.  Features that no tree uses get 0.
+    """
+    names = list(features)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            if len(b):
+                found = trees.attributions(_matrix(b, 1, len(names)), len(names))
+                yield pa.RecordBatch.from_arrays([b.column(0), pa.array(list(found), pa.list_(pa.float64()))], [ident, "values"])
+
+    kind = df.schema[ident].dataType.simpleString()
+    rows = _cells(df, names, ident).mapInArrow(run, f"`{ident}` {kind}, values array<double>")
+    return rows.select(ident, F.posexplode("values").alias("_at", "contribution")).select(
+        ident, F.array(*map(F.lit, names))[F.col("_at")].alias("feature"), "contribution")
+
+
+def with_background(df: DataFrame, features: Sequence[str], trees: Trees) -> Trees:
+    """The trees with each node's cover counted on df: attributions then start from that table's expectation.
+
+    One count a node reaches the driver.  A side of a split that no row takes
+    keeps a billionth of its parent, so every share stays above zero.
+    """
+    names = list(features)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros(len(trees.feature), np.int64)
+        for b in batches:
+            if len(b):
+                total += trees.visits(_matrix(b, 0, len(names)))
+        at = np.flatnonzero(total)
+        yield pa.RecordBatch.from_arrays([pa.array(at.astype(np.int64)), pa.array(total[at])], ["node", "n"])
+
+    counts = _cells(df, names).mapInArrow(run, "node long, n long").groupBy("node").agg(F.sum("n").alias("n"))
+    cover = np.zeros(len(trees.feature))
+    for r in counts.collect():
+        cover[r["node"]] = r["n"]
+    return trees.with_cover(cover)
+
+
+def tree_interactions(df: DataFrame, ident: str, features: Sequence[str], trees: Trees) -> DataFrame:
+    """(id, feature1, feature2, contribution) for feature1 <= feature2 in their given order.
+
+    A pair's contribution is its whole effect (both halves of the symmetric
+    matrix), a feature's with itself what is left of its attribution; so a row's
+    contributions add up to its margin less the expectation.
+    """
+    names = list(features)
+    i, j = np.triu_indices(len(names))
+    double = np.where(i == j, 1.0, 2.0)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            if len(b):
+                found = trees.interactions(_matrix(b, 1, len(names)), len(names))[:, i, j] * double
+                yield pa.RecordBatch.from_arrays([b.column(0), pa.array(list(found), pa.list_(pa.float64()))], [ident, "values"])
+
+    kind = df.schema[ident].dataType.simpleString()
+    pairs = F.array(*[F.struct(F.lit(names[a]).alias("feature1"), F.lit(names[c]).alias("feature2")) for a, c in zip(i, j)])
+    rows = _cells(df, names, ident).mapInArrow(run, f"`{ident}` {kind}, values array<double>")
+    return rows.select(ident, F.posexplode("values").alias("_at", "contribution")).withColumn("_p", pairs[F.col("_at")]).select(
+        ident, "_p.feature1", "_p.feature2", "contribution")
+
+
+def tree_interaction_strengths(df: DataFrame, features: Sequence[str], trees: Trees, top: int = 20) -> DataFrame:
+    """(feature1, feature2, strength): mean absolute interaction of all rows' pairs, strongest first.
+
+    Tasks add up their own rows, so a row a pair and task is all that is shuffled.
+    """
+    names = list(features)
+    i, j = np.triu_indices(len(names), 1)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total, n = np.zeros(len(i)), 0
+        for b in batches:
+            if len(b):
+                total += np.abs(2 * trees.interactions(_matrix(b, 0, len(names)), len(names))[:, i, j]).sum(axis=0)
+                n += len(b)
+        yield pa.RecordBatch.from_arrays([pa.array([names[a] for a in i], pa.string()), pa.array([names[c] for c in j], pa.string()),
+                                          pa.array(total), pa.array(np.full(len(i), n))], ["feature1", "feature2", "total", "n"])
+
+    parts = _cells(df, names).mapInArrow(run, "feature1 string, feature2 string, total double, n long")
+    out = parts.groupBy("feature1", "feature2").agg((F.sum("total") / F.nullif(F.sum("n"), F.lit(0))).alias("strength"))
+    return out.orderBy(F.col("strength").desc(), "feature1", "feature2").limit(top)
+
+
 def global_importance(attributions: DataFrame, top: int | None = None) -> DataFrame:
     """Features by mean absolute contribution."""
     out = attributions.groupBy("feature").agg(F.avg(F.abs("contribution")).alias("importance")).orderBy(

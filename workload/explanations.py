@@ -1,8 +1,10 @@
 """Explanation queries on the scored customers, and isolation-forest outliers."""
 
+import numpy as np
 from pyspark.sql import functions as F
 
 from retenta.operators import explain as X
+from retenta.plans import trees as P
 from retenta.operators.isolation import isolation_outliers
 from retenta.operators import models as M
 from retenta.operators import transform as T
@@ -68,6 +70,55 @@ def shapley_attributions(t):
     return X.shapley_attributions(s, "customer_id", FEATURES, score, X.background_rows(s, "customer_id", FEATURES, 20), permutations=6)
 
 
+def forest_trees(t):
+    """A forest of 100 trees down to depth 10 on the scaled features, as a node table."""
+    s, _ = prepared(t)
+    model = M.forest(numTrees=100, maxDepth=10).fit(M.assemble(s, FEATURES, ["customer_id", "label"]))
+    return s, P.from_ml(model, s.sparkSession)
+
+
+@query("tree_attributions")
+def tree_attributions(t):
+    s, trees = forest_trees(t)
+    return X.tree_attributions(s, "customer_id", FEATURES, trees)
+
+
+@query("tree_interactions")
+def tree_interactions(t):
+    s, trees = forest_trees(t)
+    return X.tree_interaction_strengths(s, FEATURES, trees)
+
+
+# a tree over frequency and balance with given splits; its covers are the customers below each node
+SMALL_TREE = P.Trees(np.array([0]), np.array([0, 1, 1, -1, -1, -1, -1]), np.array([9.0, 4500.0, 1000.0, 0, 0, 0, 0]),
+                     np.array([1, 3, 5, -1, -1, -1, -1]), np.array([2, 4, 6, -1, -1, -1, -1]), np.array([0, 0, 0, 0.9, 0.7, 0.4, 0.1]), np.zeros(7))
+SMALL_SQL = """,
+n AS (SELECT count(*)::DOUBLE AS n, count(*) FILTER (frequency <= 9)::DOUBLE AS l, count(*) FILTER (frequency <= 9 AND balance <= 4500)::DOUBLE AS ll,
+             count(*) FILTER (frequency > 9 AND balance <= 1000)::DOUBLE AS rl FROM scored),
+v AS (SELECT customer_id,
+  (9e-1 * ll + 7e-1 * (l - ll) + 4e-1 * rl + 1e-1 * (n - l - rl)) / n AS f0,
+  CASE WHEN frequency <= 9 THEN (9e-1 * ll + 7e-1 * (l - ll)) / l ELSE (4e-1 * rl + 1e-1 * (n - l - rl)) / (n - l) END AS ff,
+  l / n * CASE WHEN balance <= 4500 THEN 9e-1 ELSE 7e-1 END + (n - l) / n * CASE WHEN balance <= 1000 THEN 4e-1 ELSE 1e-1 END AS fb,
+  CASE WHEN frequency <= 9 THEN CASE WHEN balance <= 4500 THEN 9e-1 ELSE 7e-1 END ELSE CASE WHEN balance <= 1000 THEN 4e-1 ELSE 1e-1 END END AS fa
+  FROM scored, n)
+"""
+
+
+@query("small_tree_attributions", WITH + SMALL_SQL + """SELECT customer_id, 'frequency' AS feature, (ff - f0 + fa - fb) / 2 AS contribution FROM v
+UNION ALL SELECT customer_id, 'balance', (fb - f0 + fa - ff) / 2 FROM v""", real="contribution", digits=9)
+def small_tree_attributions(t):
+    s = scored(t)
+    return X.tree_attributions(s, "customer_id", ["frequency", "balance"], X.with_background(s, ["frequency", "balance"], SMALL_TREE))
+
+
+@query("small_tree_interactions", WITH + SMALL_SQL + """SELECT customer_id, 'frequency' AS feature1, 'balance' AS feature2, fa - ff - fb + f0 AS contribution FROM v
+UNION ALL SELECT customer_id, 'frequency', 'frequency', (ff - f0 + fa - fb) / 2 - (fa - ff - fb + f0) / 2 FROM v
+UNION ALL SELECT customer_id, 'balance', 'balance', (fb - f0 + fa - ff) / 2 - (fa - ff - fb + f0) / 2 FROM v""", real="contribution", digits=9)
+def small_tree_interactions(t):
+    s = scored(t)
+    return X.tree_interactions(s, "customer_id", ["frequency", "balance"], X.with_background(s, ["frequency", "balance"], SMALL_TREE))
+
+
 @query("interaction_strengths")
 def interaction_strengths(t):
     s, score = prepared(t)

@@ -2,6 +2,7 @@
 
 from pyspark.sql import functions as F
 
+from retenta.operators import boosting as B
 from retenta.operators import models as M
 from retenta.operators import transform as X
 from retenta.plans.scoretable import metric_set
@@ -64,6 +65,49 @@ def boosted_scores(t):
     return M.batch_score(M.boosted(maxIter=5, maxDepth=3).fit(df), df, ["customer_id", "label"])
 
 
+@query("boosted_trees")
+def boosted_trees(t):
+    """Second-order boosting, 100 trees of depth 3 (the first point of the search space), classes balanced."""
+    s = settle(scored(t).select("customer_id", "label", *FEATURES), "boosted")
+    model = B.boost(s, "customer_id", FEATURES, trees=100, depth=3, eta=0.1)
+    return model.score(s, ["customer_id", "label"]).withColumn("risk_level", M.risk_band(F.col("score")))
+
+
+def _side(name, rows):
+    """Best split of a node's rows in SQL: gains of every cut, ties as in the fit."""
+    return f"""
+cand_{name} AS (
+  SELECT c.feature, c.cut, sum(g) FILTER (x <= cut) AS gl, sum(h) FILTER (x <= cut) AS hl, sum(g) AS g, sum(h) AS h
+  FROM {rows} r JOIN cuts c USING (feature) GROUP BY c.feature, c.cut HAVING count(*) FILTER (x <= cut) > 0 AND count(*) FILTER (x > cut) > 0
+),
+best_{name} AS (
+  SELECT *, (gl * gl / (hl + 1) + (g - gl) * (g - gl) / (h - hl + 1) - g * g / (h + 1)) / 2 AS gain FROM cand_{name}
+  WHERE hl >= 1 AND h - hl >= 1 ORDER BY round((gl * gl / (hl + 1) + (g - gl) * (g - gl) / (h - hl + 1) - g * g / (h + 1)) / 2, 9) DESC, feature, cut LIMIT 1
+)"""
+
+
+FIRST_TREE = WITH + """,
+k AS (SELECT count(*) FILTER (label = 0) / count(*) FILTER (label = 1)::DOUBLE AS weight FROM scored),
+gh AS (SELECT *, (5e-1 - label) * CASE WHEN label = 1 THEN weight ELSE 1e0 END AS g, 25e-2 * CASE WHEN label = 1 THEN weight ELSE 1e0 END AS h FROM scored, k),
+long AS (""" + " UNION ALL ".join(f"SELECT customer_id, {i} AS feature, {c}::DOUBLE AS x, g, h FROM gh" for i, c in enumerate(FEATURES)) + """),
+cuts AS (
+  SELECT DISTINCT feature, cut FROM (
+    SELECT feature, unnest(quantile_cont(x, [""" + ", ".join(repr(i / 32) for i in range(1, 32)) + """])) AS cut, max(x) AS top FROM long GROUP BY feature)
+  WHERE cut < top
+),""" + _side("root", "long") + """,
+sided AS (SELECT l.*, s.low FROM long l JOIN (SELECT customer_id, x <= cut AS low FROM long JOIN best_root USING (feature)) s USING (customer_id)),
+lefts AS (SELECT * FROM sided WHERE low), rights AS (SELECT * FROM sided WHERE NOT low),""" + _side("left", "lefts") + "," + _side("right", "rights") + """
+SELECT 0 AS node, feature, cut AS threshold, gain, -1e-1 * gl / (hl + 1) AS low_value, -1e-1 * (g - gl) / (h - hl + 1) AS high_value FROM best_root
+UNION ALL SELECT 1, feature, cut, gain, -1e-1 * gl / (hl + 1), -1e-1 * (g - gl) / (h - hl + 1) FROM best_left
+UNION ALL SELECT 2, feature, cut, gain, -1e-1 * gl / (hl + 1), -1e-1 * (g - gl) / (h - hl + 1) FROM best_right"""
+
+
+@query("boosting_first_tree", FIRST_TREE, real="threshold gain low_value high_value", whole="node feature")
+def boosting_first_tree(t):
+    """The three splits of the first tree of depth 2, and what each side would answer as a leaf."""
+    return B.boost(scored(t), "customer_id", FEATURES, trees=1, depth=2, eta=0.1, bins=32).splits(t.spark).drop("tree")
+
+
 @query("cross_validation")
 def cross_validation(t):
     df = training(t)
