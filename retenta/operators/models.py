@@ -11,12 +11,12 @@ from pyspark.ml.classification import GBTClassifier, LogisticRegression, RandomF
 from pyspark.ml.evaluation import BinaryClassificationEvaluator
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.ml.regression import IsotonicRegression
 from pyspark.ml.tuning import CrossValidator
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from retenta.functions.expr import hash_key, hash_uniform
 from retenta.operators.splits import stratified_folds
+from retenta.plans.isotonic import Isotonic, apply_isotonic, fit_isotonic
 from retenta.plans.scoretable import calibration_bins, calibration_errors, join_groups, metric_set
 from retenta.session import settle
 
@@ -158,10 +158,9 @@ def batch_score(model: Model, df: DataFrame, keep: Sequence[str]) -> DataFrame:
 # calibration
 
 
-def _calibrator(held: DataFrame, method: str, label: str) -> Model:
+def _calibrator(held: DataFrame, method: str, label: str) -> Model | Isotonic:
     if method == "isotonic":
-        runs = held.groupBy("score").agg(F.avg(F.col(label).cast("double")).alias("y"), F.count(F.lit(1)).cast("double").alias("w"))
-        return IsotonicRegression(featuresCol="score", labelCol="y", weightCol="w").fit(runs)
+        return fit_isotonic(held, "score", label)
     counts = held.agg(F.sum(F.col(label).cast("long")).alias("p"), F.count(F.lit(1)).alias("n")).first()
     up, down = (counts["p"] + 1) / (counts["p"] + 2), 1 / (counts["n"] - counts["p"] + 2)
     target = F.when(F.col(label) == 1, F.lit(up)).otherwise(F.lit(down))
@@ -176,9 +175,9 @@ def _logit(p: Column) -> Column:
     return F.ln(safe / (1 - safe))
 
 
-def _calibrated(model: Model, df: DataFrame, method: str, name: str) -> DataFrame:
+def _calibrated(model: Model | Isotonic, df: DataFrame, method: str, name: str) -> DataFrame:
     if method == "isotonic":
-        return model.transform(df).withColumnRenamed("prediction", name)
+        return apply_isotonic(df, model, "score", name)
     x = VectorAssembler(inputCols=["_x"], outputCol="features").transform(df.withColumn("_x", _logit(F.col("score"))))
     out = model.transform(x)
     return out.withColumn(name, F.get(vector_to_array("probability"), 1)).drop("_x", "features", "rawPrediction", "probability", "prediction")

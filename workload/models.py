@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 from retenta.operators import boosting as B
 from retenta.operators import models as M
 from retenta.operators import transform as X
+from retenta.plans.isotonic import apply_isotonic, fit_isotonic
 from retenta.plans.scoretable import metric_set
 from retenta.session import settle
 from workload.base import SCORED_SQL, TWO_MODELS_SQL, scored, two_models
@@ -144,6 +145,22 @@ def risk_bands(t):
     return scored(t).select("customer_id", M.risk_band(F.col("score")).alias("risk_level"))
 
 
+ISOTONIC = WITH + """,
+runs AS (SELECT score, count(*) AS w, sum(label) AS s, row_number() OVER (ORDER BY score) AS i FROM scored GROUP BY score),
+upto AS (SELECT score, i, sum(w) OVER (ORDER BY i) AS cw, sum(s) OVER (ORDER BY i) AS cs, w, s FROM runs),
+means AS (SELECT a.i AS a, b.i AS b, (b.cs - a.cs + a.s)::DOUBLE / (b.cw - a.cw + a.w) AS m FROM upto a JOIN upto b ON b.i >= a.i),
+lowest AS (SELECT a, b, min(m) OVER (PARTITION BY a ORDER BY b DESC) AS m FROM means),
+fitted AS (SELECT b AS i, max(m) AS calibrated FROM lowest GROUP BY b)
+SELECT customer_id, score, calibrated FROM scored JOIN runs USING (score) JOIN fitted USING (i)"""
+
+
+@query("isotonic_calibration", ISOTONIC, real="score calibrated", digits=9)
+def isotonic_calibration(t):
+    """The score's increasing least-squares fit to the label, by customer; ranges of 200 scores, so that several are merged."""
+    s = scored(t).select("customer_id", "score", "label")
+    return apply_isotonic(s, fit_isotonic(s, per_range=200)).select("customer_id", "score", "calibrated")
+
+
 @query("calibrated_scores")
 def calibrated_scores(t):
     df = training(t)
