@@ -2,6 +2,7 @@
 
 from pyspark.sql import functions as F
 
+from retenta.operators import neighbours as N
 from retenta.operators import splits as L
 from retenta.operators import transform as X
 from workload.base import SCORED_SQL, scored
@@ -103,6 +104,34 @@ def mutual_information(t):
     return X.mutual_information_scores(scored(t), NUMS, "label")
 
 
+def _psi(n):
+    """Digamma of a whole number, as in the operator: expansion at n + 8, less the steps back."""
+    steps = " + ".join(f"1e0 / ({n} + {i})" for i in range(8))
+    x = f"({n} + 8e0)"
+    return (f"(ln({x}) - 1e0 / (2 * {x}) - 1e0 / (12 * {x} ** 2) + 1e0 / (120 * {x} ** 4) - 1e0 / (252 * {x} ** 6) + 1e0 / (240 * {x} ** 8) - ({steps}))")
+
+
+NEIGHBOURS = WITH + """,
+long AS (""" + " UNION ALL ".join(f"""SELECT '{c}' AS "column", customer_id AS i, label AS c, {c}::DOUBLE AS v FROM scored""" for c in NUMS) + """),
+sizes AS (SELECT "column", c, count(*) AS size FROM long GROUP BY ALL HAVING count(*) > 1),
+pts AS (SELECT l.*, size, least(3, size - 1) AS k FROM long l JOIN sizes USING ("column", c)),
+near AS (
+  SELECT "column", a.i, any_value(a.v) AS v, any_value(a.k) AS k, any_value(a.size) AS size, list_sort(list(abs(b.v - a.v)))[any_value(a.k)] AS r,
+         1 + count(*) FILTER (b.v = a.v) AS equal
+  FROM pts a JOIN pts b USING ("column", c) WHERE a.i <> b.i GROUP BY "column", a.i
+),
+counted AS (
+  SELECT "column", a.i, any_value(CASE WHEN r = 0 THEN equal ELSE a.k END) AS k, any_value(a.size) AS size, count(*) AS m FROM near a JOIN pts b USING ("column")
+  WHERE abs(b.v - a.v) < a.r OR (a.r = 0 AND b.v = a.v) GROUP BY "column", a.i
+)
+SELECT "column", greatest(0e0, """ + _psi("count(*)") + f" + avg({_psi('k')}) - avg({_psi('size')}) - avg({_psi('m')})" + """) AS score FROM counted GROUP BY "column" """
+
+
+@query("neighbour_mutual_information", NEIGHBOURS, real="score", digits=9)
+def neighbour_mutual_information(t):
+    return N.neighbour_mutual_information(scored(t), NUMS, "label").withColumnRenamed("feature", "column")
+
+
 @query("variance_importance", WITH + """, v AS (SELECT 'frequency' AS "column", var_pop(frequency) AS score FROM scored UNION ALL SELECT 'score', var_pop(score) FROM scored
   UNION ALL SELECT 'label', var_pop(label) FROM scored) SELECT *, score > 1e-2 AS selected FROM v""", real="score")
 def variance_importance(t):
