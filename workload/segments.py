@@ -20,6 +20,17 @@ def choose_k(t):
     return G.choose_k(scored(t), "customer_id", COLS)
 
 
+@query("choose_k_hierarchical")
+def choose_k_hierarchical(t):
+    return G.choose_k(scored(t), "customer_id", COLS, method="hierarchical")
+
+
+@query("ward_dendrogram")
+def ward_dendrogram(t):
+    vec = G.standardised(scored(t), "customer_id", COLS)
+    return G.Dendrogram.fit(vec).table(t.spark)
+
+
 @query("hierarchical_segments")
 def hierarchical_segments(t):
     return G.hierarchical_segments(scored(t), "customer_id", COLS, 4)
@@ -41,13 +52,13 @@ def cluster_quality(t):
     return G.cluster_quality(scored(t), ["frequency", "balance"], "segment")
 
 
-DIMS = [f"e{i}" for i in range(4)]
+DIMS = [f"e{i}" for i in range(64)]
 
 
-@query("embedding_cluster_quality", "WITH emb AS (SELECT label, " + ", ".join(f"embedding[{i + 1}]::DOUBLE AS e{i}" for i in range(4)) + " FROM embeddings), "
+@query("embedding_cluster_quality", "WITH emb AS (SELECT label, " + ", ".join(f"embedding[{i + 1}]::DOUBLE AS e{i}" for i in range(64)) + " FROM embeddings), "
        + _quality_sql("emb", "label", DIMS), real="calinski_harabasz davies_bouldin", whole="n_clusters", digits=4)
 def embedding_cluster_quality(t):
-    e = t.embeddings.select("label", *[F.get("embedding", i).cast("double").alias(f"e{i}") for i in range(4)])
+    e = t.embeddings.select("label", *[F.get("embedding", i).cast("double").alias(f"e{i}") for i in range(64)])
     return G.cluster_quality(e, DIMS, "label")
 
 
