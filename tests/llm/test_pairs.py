@@ -116,3 +116,17 @@ def test_nearest_recall_order_and_odd_rows(spark):
     few = spark.createDataFrame(rows[:5], VECS)
     assert [r["rank"] for r in collision.nearest(few).orderBy("rank").collect()] == [1, 2, 3, 4]
     assert collision.nearest(few.limit(0)).count() == 0
+
+
+def test_nearest_keeps_vectors_of_two_lengths_apart(spark):
+    rng = np.random.default_rng(6)
+    rows = [(i, [float(v) for v in rng.standard_normal(8 if i % 3 else 12)], 0) for i in range(900)]
+    got = {}
+    for r in collision.nearest(spark.createDataFrame(rows, VECS), shard=200, block=16).collect():
+        got.setdefault(r["query_id"], {})[r["vec_id"]] = r["score"]
+    hit = n = 0
+    for q, v, _ in rows[::20]:
+        own = sorted(((-float(np.dot(v, x)), i) for i, x, _ in rows if len(x) == len(v) and i != q))[:20]
+        hit, n = hit + len(set(got[q]) & {i for _, i in own}), n + len(own)
+        assert len(got[q]) == 20 and all(len(rows[i][1]) == len(v) for i in got[q])
+    assert hit / n >= 0.9
