@@ -16,6 +16,7 @@ each distinct line.
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql.types import StructType
 
 from retenta.llm.common import table
 
@@ -60,6 +61,11 @@ def _lines(docs: DataFrame, short: bool) -> DataFrame:
     return cut.select("doc_id", "row", "pos", F.when(long, leaf).alias("leaf"), F.when(hashed, h1).alias("h1"), F.when(hashed, h2).alias("h2"))
 
 
+def _line(texts: DataFrame, element: Column) -> Column:
+    """The line in an element of texts' arrays, which hold lines, or structures of a line and (in the first) the row's other columns."""
+    return element["line"] if isinstance(texts.schema["lines"].dataType.elementType, StructType) else element
+
+
 def _templates(texts: DataFrame, distinct: DataFrame) -> DataFrame:
     """(leaf, h1, h2, g1, g2, lo, hi): the template of each line that has one with variable fields, or could have.
 
@@ -70,7 +76,7 @@ def _templates(texts: DataFrame, distinct: DataFrame) -> DataFrame:
     by_doc = wanted.groupBy(F.col("first.doc_id").alias("doc_id"), F.col("first.row").alias("row")).agg(
         F.collect_list(F.struct(F.col("first.pos").alias("pos"), "leaf", "h1", "h2", "lo", "hi")).alias("wanted"))  # a document's own lines
     own = texts.select("doc_id", "row", "lines").join(by_doc, ["doc_id", "row"]).select(
-        F.explode(F.transform("wanted", lambda w: F.struct(w.alias("w"), F.get("lines", w["pos"]).alias("line")))).alias("own"))
+        F.explode(F.transform("wanted", lambda w: F.struct(w.alias("w"), _line(texts, F.get("lines", w["pos"])).alias("line")))).alias("own"))
     cut = own.select("own.w.h1", "own.w.h2", F.struct("own.w.leaf", "own.w.lo", "own.w.hi", _masked(F.col("own.line")).alias("whole")).alias("one"))
     # rows that repeat a document bring its lines again; the readers below share this shuffle, so all name the same non-null columns
     cut = cut.where("h1 is not null and h2 is not null")
@@ -120,16 +126,24 @@ def drop_lines(docs: DataFrame, short: bool = False) -> DataFrame:
     look-alike lines and for the drop alike: both joins read one shuffle.
     """
     others = [F.col(f"`{c}`") for c in docs.columns if c not in ("doc_id", "text", "n_lines", "n_dropped")]
-    rest = [F.struct(*others).alias("rest")] if others else []  # no name of another column can clash
-    texts = docs.select("doc_id", F.xxhash64("text").alias("row"), F.split("text", "\n").alias("lines"), *rest)
+    lines = F.split("text", "\n")
+    if others:  # within the arrays, so that both joins ask for the same columns; no name of another column can clash
+        rest = F.struct(*others)
+        lines = F.transform(F.coalesce(lines, F.array(F.lit(None).cast("string"))), lambda line, i: F.struct(line.alias("line"), F.when(i == 0, rest).alias("rest")))
+    texts = docs.select("doc_id", F.xxhash64("text").alias("row"), lines.alias("lines"))
     named = texts.where(F.col("doc_id").isNotNull())
     met = named.join(recurring_lines(docs.select("doc_id", "text"), named, short), ["doc_id", "row"], "left")
     nameless = texts.where(F.col("doc_id").isNull()).withColumn("dropped", F.lit(None).cast("array<int>"))
     every = met.unionByName(nameless)
     kept = F.when(F.col("dropped").isNull(), F.col("lines")).otherwise(F.filter("lines", lambda line, i: ~F.array_contains("dropped", i)))
+    none = F.col("lines").isNull()
+    if others:
+        none = F.col("lines")[0]["line"].isNull()
+        kept = F.when(~none, F.transform(kept, lambda e: e["line"]))
+        every = every.withColumn("rest", F.col("lines")[0]["rest"])
     return every.select(
-        "doc_id", F.array_join(kept, "\n").alias("text"), *(["rest.*"] if rest else []),
-        F.when(F.col("lines").isNull(), 0).otherwise(F.size("lines")).cast("long").alias("n_lines"),
+        "doc_id", F.array_join(kept, "\n").alias("text"), *(["rest.*"] if others else []),
+        F.when(none, 0).otherwise(F.size("lines")).cast("long").alias("n_lines"),
         F.when(F.col("dropped").isNull(), 0).otherwise(F.size("dropped")).cast("long").alias("n_dropped"))
 
 
