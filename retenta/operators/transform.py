@@ -7,15 +7,17 @@ from collections.abc import Sequence
 from dataclasses import asdict, dataclass, field
 from itertools import combinations
 
-from pyspark.ml.feature import PCA, VectorAssembler
-from pyspark.ml.functions import vector_to_array
+from pyspark.ml.feature import PCA, OneHotEncoder, VectorAssembler
+from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from retenta.functions.expr import ratio
 from retenta.operators.quality import apply_winsor, fit_winsor, mode_value, numeric_columns, text_columns
 from retenta.operators.timefeat import fit_reference_date, rfm_features
 from retenta.params import OutlierParams, Transactions
+from retenta.plans.order import number_rows
 from retenta.plans.quantiles import fit_quantiles
+from retenta.session import settle
 
 MAX_CATEGORIES = 1000
 
@@ -91,6 +93,51 @@ def one_hot(df: DataFrame, fit: CategoryFit) -> DataFrame:
     return df.withColumns(out).drop(*fit.categories)
 
 
+def fit_category_codes(df: DataFrame, cols: Sequence[str]) -> DataFrame:
+    """(column, value, code, filled, size): the categories of each text column as a table, whatever their number.
+
+    Codes count from -1 along the values, so the first category, whose code is
+    no place, is the one that is dropped; size is the number of places; filled
+    marks the most frequent value (the smallest of equal ones), which stands in
+    for NULL.  All columns are counted in one pass.
+    """
+    cells = F.array(*[F.struct(F.lit(c).alias("column"), F.col(f"`{c}`").cast("string").alias("value")) for c in cols])
+    counts = settle(df.select(F.explode(cells).alias("r")).select("r.*").where("value is not null").groupBy("column", "value").agg(
+        F.count(F.lit(1)).alias("n")), "categories")
+    # a row for each column
+    each = counts.groupBy("column").agg((F.count(F.lit(1)) - 1).alias("size"), F.min(F.struct(-F.col("n"), "value")).alias("most"))
+    numbered = number_rows(counts, ["value"], ["column"], "code").join(each, "column")
+    return settle(numbered.select("column", "value", (F.col("code") - 2).cast("int").alias("code"),
+                                  (F.col("value") == F.col("most.value")).alias("filled"), F.col("size").cast("int").alias("size")), "category-codes")
+
+
+def sparse_one_hot(df: DataFrame, cols: Sequence[str], codes: DataFrame, name: str = "features") -> DataFrame:
+    """df with one sparse vector of all the columns' categories in `name`, columns in their given order; the columns stay.
+
+    NULL takes the most frequent value's place; the first category and values
+    that the fit has not seen have none.  A code table is joined per column, so
+    no list of values becomes columns or literals, and the driver learns one
+    size a column.
+    """
+    sizes = {r["column"]: r["size"] for r in codes.where("filled").select("column", "size").collect()}
+    used = [c for c in cols if sizes.get(c, 0) > 0]
+    out = df
+    for i, c in enumerate(used):
+        own = codes.where(F.col("column") == c)
+        most = own.where("filled").agg(F.max("value")).scalar()
+        table = own.select(F.col("value").alias(f"_v{i}"), F.col("code").alias(f"_c{i}"))
+        out = out.withColumn(f"_v{i}", F.coalesce(F.col(f"`{c}`").cast("string"), most)).join(table, f"_v{i}", "left")
+        # a code beyond the last place has no place either
+        out = out.withColumn(f"_c{i}", F.when(F.col(f"_c{i}") >= 0, F.col(f"_c{i}")).otherwise(sizes[c]).cast("double"))
+    if not used:
+        return out.withColumn(name, array_to_vector(F.array().cast("array<double>")))
+    spark = df.sparkSession
+    last = spark.createDataFrame([tuple(float(sizes[c] - 1) for c in used)], ", ".join(f"_c{i} double" for i in range(len(used))))
+    encoder = OneHotEncoder(inputCols=[f"_c{i}" for i in range(len(used))], outputCols=[f"_o{i}" for i in range(len(used))], handleInvalid="keep").fit(last)
+    joined = VectorAssembler(inputCols=[f"_o{i}" for i in range(len(used))], outputCol=name).transform(encoder.transform(out))
+    return joined.drop(*[f"_{k}{i}" for i in range(len(used)) for k in "vco"])
+
+
 def fit_target_encoding(df: DataFrame, col: str, label: str) -> DataFrame:
     """(value, encoding): label mean shrunk to the overall mean by empirical Bayes.
 

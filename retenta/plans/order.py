@@ -153,3 +153,22 @@ def average_ranks(df: DataFrame, value: str, *, by: Sequence[str] = (), carry: d
     )
     cum = running_totals(runs, value, {"_cum": F.col("n")}, by=by, bins=bins)
     return cum.withColumn("avg_rank", F.col("_cum") - (F.col("n") - 1) / F.lit(2.0)).drop("_cum")
+
+
+def number_rows(df: DataFrame, keys: Sequence[str], by: Sequence[str], name: str) -> DataFrame:
+    """df with its row number from 1 along the keys in each group of `by`, for keys of any type, nulls first.
+
+    Rows are dealt by ranges of (by, keys) and written with the number of their
+    range; a row's number is its place in the range after the rows of earlier
+    ranges.  Groups in `by` must not be NULL; equal rows are numbered in any order.
+    """
+    from retenta.session import settle
+
+    by, keys = list(by), list(keys)
+    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    dealt = settle(df.repartitionByRange(parts, *by, *keys).withColumn("_range", F.spark_partition_id()), "numbered")
+    earlier = W.partitionBy(*by).orderBy("_range").rowsBetween(W.unboundedPreceding, -1)
+    before = dealt.groupBy(*by, "_range").agg(F.count(F.lit(1)).alias("_c")).select(*by, "_range", F.coalesce(F.sum("_c").over(earlier), F.lit(0)).alias("_before"))
+    inside = F.row_number().over(W.partitionBy(*by, "_range").orderBy(*keys))
+    out = dealt.withColumn(name, inside).join(before, [*by, "_range"]).withColumn(name, F.col(name) + F.col("_before"))
+    return out.drop("_range", "_before")

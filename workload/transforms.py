@@ -1,5 +1,6 @@
 """Feature transform queries on customers, orders and parts."""
 
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
 from retenta.operators import neighbours as N
@@ -55,6 +56,23 @@ def one_hot(t):
     return X.one_hot(g, X.fit_categories(g, ["segment"]))
 
 
+def _places(col, first):
+    return f"""SELECT customer_id, {first} + pos - 2 AS place FROM (SELECT customer_id, coalesce({col}, (SELECT {col} FROM wide WHERE {col} IS NOT NULL GROUP BY 1 ORDER BY count(*) DESC, 1 LIMIT 1)) AS v FROM wide)
+JOIN (SELECT v, row_number() OVER (ORDER BY v) AS pos FROM (SELECT DISTINCT {col} AS v FROM wide WHERE {col} IS NOT NULL)) USING (v) WHERE pos > 1"""
+
+
+# names are as many as customers: more values than one_hot takes as columns
+@query("sparse_one_hot", WITH + """,
+wide AS (SELECT customer_id, CASE WHEN customer_id % 7 <> 0 THEN segment END AS segment, c_name AS name FROM scored JOIN customer ON c_custkey = customer_id),
+n AS (SELECT count(DISTINCT segment) - 1 AS k FROM wide)
+""" + _places("segment", 0) + " UNION ALL " + _places("name", "(SELECT k FROM n)"), whole="place")
+def sparse_one_hot(t):
+    names = t.customer.select(F.col("c_custkey").alias("customer_id"), F.col("c_name").alias("name"))
+    s = scored(t).select("customer_id", F.when(F.col("customer_id") % 7 != 0, F.col("segment")).alias("segment")).join(names, "customer_id")
+    out = X.sparse_one_hot(s, ["segment", "name"], X.fit_category_codes(s, ["segment", "name"]))
+    return out.select("customer_id", F.posexplode(vector_to_array("features")).alias("place", "on")).where("on = 1").drop("on")
+
+
 @query("target_encoding", WITH + """, a AS (SELECT avg(label) m, var_pop(label) v FROM scored), g AS (SELECT segment, count(*) n, avg(label) gm, var_pop(label) gv FROM scored GROUP BY 1),
 e AS (SELECT segment, (v * n) / (v * n + gv) AS w, gm, m FROM g, a)
 SELECT customer_id, w * gm + (1 - w) * m AS segment FROM scored JOIN e USING (segment)""", real="segment")
