@@ -272,18 +272,25 @@ def apply_pca(df: DataFrame, fit) -> DataFrame:
 
 
 def infer_transaction_columns(df: DataFrame) -> Transactions | None:
-    """First customer-like, date and value-like columns by name and type; None when one is missing."""
+    """First customer-like, date and value-like columns by name and type; None when one is missing.
+
+    Without a value-like name the first other numeric column is the value.
+    """
     dates = [c for c, t in df.dtypes if t in ("date", "timestamp", "timestamp_ntz")]
     ids = [c for c in df.columns if "id" in c.lower() or "customer" in c.lower()]
     values = [c for c in numeric_columns(df) if any(w in c.lower() for w in ("amount", "value", "price"))]
+    values += [c for c in numeric_columns(df) if ids and c != ids[0]]
     return Transactions(ids[0], dates[0], values[0]) if dates and ids and values else None
 
 
 @dataclass
 class FeaturePipeline:
-    """Numeric and one-hot preprocessing, optional interactions, selection and RFM, fitted once.
+    """Temporal features, numeric and one-hot preprocessing, optional interactions and selection, fitted once.
 
-    Columns outside `numeric` and `texts` pass through.  `save` writes the
+    With `with_temporal` every row gets its customer's figures (columns
+    `rfm_...`), which are numbers like the others from there on; the customer
+    and date columns themselves pass through, as do all outside `numeric` and
+    `texts`.  `save` writes the
     fitted parameters as a one-row table.
     """
 
@@ -306,15 +313,16 @@ class FeaturePipeline:
             tx = infer_transaction_columns(df)
             if tx:
                 self.temporal, self.reference = asdict(tx), str(fit_reference_date(df, tx))
-        skip = {*self.keep, *([label] if label else [])}
+        df = self._timed(df)
+        skip = {*self.keep, *([label] if label else []), *([self.temporal["customer"], self.temporal["date"]] if self.temporal else [])}
         nums = [c for c in numeric_columns(df) if c not in skip]
         texts = [c for c in text_columns(df) if c not in skip]
         self.numeric = asdict(fit_numeric(df, nums, self.impute, self.scale))
         self.texts = asdict(fit_categories(df, texts))
         out = self._prepared(df)
         if self.with_interactions:
-            before = set(out.columns)
-            self.pairs = [c for c in interactions(out, nums).columns if c not in before]
+            made = set(interactions(out, nums).columns) - set(out.columns)
+            self.pairs = [[name, a, b, op] for a, b in combinations(nums, 2) for op in ("x", "div") if (name := f"{a}_{op}_{b}") in made]
             out = self._interact(out)
         if self.selection and label:
             cols = self.output_columns(nums)
@@ -331,25 +339,29 @@ class FeaturePipeline:
             return self.selected
         names = list(nums if nums is not None else self.numeric["fill"])
         names += [f"{c}_{v}" for c, values in self.texts["categories"].items() for v in values[1:]]
-        return names + list(self.pairs or [])
+        return names + [p[0] for p in self.pairs or []]
 
     def _prepared(self, df: DataFrame) -> DataFrame:
         return one_hot(apply_numeric(df, NumericFit(**self.numeric)), CategoryFit(**self.texts))
 
     def _interact(self, df: DataFrame) -> DataFrame:
         out = {}
-        for name in self.pairs or []:
-            a, b = name.split("_x_") if "_x_" in name else name.split("_div_")
-            x, y = F.col(a), F.col(b)
-            out[name] = x * y if "_x_" in name else F.try_divide(x, y)
+        for name, a, b, op in self.pairs or []:
+            x, y = F.col(f"`{a}`"), F.col(f"`{b}`")
+            out[name] = x * y if op == "x" else F.try_divide(x, y)
         return df.withColumns(out) if out else df
 
+    def _timed(self, df: DataFrame) -> DataFrame:
+        """df with its customers' temporal figures, before anything is filled or scaled."""
+        if not self.temporal:
+            return df
+        tx = Transactions(**self.temporal)
+        rfm = rfm_features(df, tx, F.lit(self.reference).cast("timestamp_ntz"))
+        figures = [F.col(c).alias(f"rfm_{c}") for c in rfm.columns if c not in (tx.customer, "last_date", "first_date")]
+        return df.join(rfm.select(tx.customer, *figures), tx.customer, "left")
+
     def transform(self, df: DataFrame) -> DataFrame:
-        out = self._interact(self._prepared(df))
-        if self.temporal:
-            tx = Transactions(**self.temporal)
-            rfm = rfm_features(df, tx, F.lit(self.reference).cast("timestamp_ntz"))
-            out = out.join(rfm, tx.customer, "left")
+        out = self._interact(self._prepared(self._timed(df)))
         if self.selected is not None:
             dropped = set(FeaturePipeline.output_columns(_unselected(self))) - set(self.selected)
             out = out.drop(*dropped)

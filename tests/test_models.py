@@ -93,6 +93,24 @@ def test_pipeline_round_trip(spark, tmp_path):
     assert all(p.transform(unseen).first()[c] == 0.0 for c in p.output_columns() if c.startswith("t_"))
 
 
+def test_pipeline_names_and_temporal_stage(spark, tmp_path):
+    import datetime
+
+    rows = [(i % 6, datetime.datetime(2024, 1, 1 + i % 28), float(i % 7), float(i % 5 + 1), "xyz"[i % 3], i % 2) for i in range(80)]
+    df = spark.createDataFrame(rows, "customer_id long, at timestamp_ntz, max_x_pos double, b_div_c double, t string, label int")
+    assert T.infer_transaction_columns(df).value == "max_x_pos"  # no value-like name: the first other number
+    p = T.FeaturePipeline(with_interactions=True, with_temporal=True).fit(df, "label")
+    out = p.transform(df)
+    assert {"max_x_pos_x_b_div_c", "rfm_frequency", "rfm_recency_days", "customer_id", "at"} <= set(out.columns)
+    # customers keep their ids, figures are scaled like other numbers, products are of the scaled columns
+    assert {r[0] for r in out.select("customer_id").distinct().collect()} == set(range(6)) and out.count() == 80
+    mean, sd, wrong = out.agg(F.avg("rfm_frequency"), F.stddev_pop("rfm_frequency"), F.max(F.abs(F.col("max_x_pos_x_b_div_c") - F.col("max_x_pos") * F.col("b_div_c")))).first()
+    assert abs(mean) < 1e-9 and abs(sd - 1) < 1e-9 and wrong == 0
+    p.save(spark, str(tmp_path / "t"))
+    again = T.FeaturePipeline.load(spark, str(tmp_path / "t")).transform(df)
+    assert sorted(map(repr, out.collect())) == sorted(map(repr, again.collect()))
+
+
 def test_pca_is_centred_and_ordered(table):
     out = T.apply_pca(table, T.fit_pca(table, ["a", "b"], 2)).agg(F.avg("pc1"), F.var_pop("pc1"), F.var_pop("pc2")).first()
     assert abs(out[0]) < 1e-9 and out[1] >= out[2]

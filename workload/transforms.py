@@ -173,3 +173,21 @@ def feature_pipeline(t):
     g = gappy(t)
     p = X.FeaturePipeline(with_interactions=True, selection="f_classif", max_features=4, keep=["customer_id"]).fit(g, "label")
     return p.transform(g)
+
+
+TIMED = "WITH " + SCORED_SQL + """,
+tx AS (SELECT o_orderkey AS order_key, o_custkey AS customer_id, o_orderdate AS ordered, o_totalprice AS price FROM orders),
+r AS (SELECT customer_id, count(*)::DOUBLE AS frequency, date_sub('day', max(ordered), (SELECT max(ordered) FROM tx))::DOUBLE AS recency FROM tx GROUP BY 1),
+j AS (SELECT order_key, price, r.frequency, r.recency FROM tx JOIN r USING (customer_id)),
+l AS (SELECT """ + ", ".join(f"quantile_cont({c}, 0.01) AS {c}1, quantile_cont({c}, 0.99) AS {c}9" for c in ("price", "frequency", "recency")) + """ FROM j),
+w AS (SELECT order_key, """ + ", ".join(f"least(greatest({c}, {c}1), {c}9) AS {c}" for c in ("price", "frequency", "recency")) + """ FROM j, l),
+m AS (SELECT """ + ", ".join(f"avg({c}) AS {c}m, stddev_pop({c}) AS {c}s" for c in ("price", "frequency", "recency")) + """ FROM w)
+SELECT order_key, """ + ", ".join(f"({c} - {c}m) / {c}s AS {c}" for c in ("price", "frequency", "recency")) + " FROM w, m"
+
+
+@query("feature_pipeline_temporal", TIMED, real="price frequency recency", digits=8)
+def feature_pipeline_temporal(t):
+    """Orders with their customers' figures, all scaled; customer, date and value columns are inferred."""
+    tx = t.orders.select(F.col("o_orderkey").alias("order_key"), F.col("o_custkey").alias("customer_id"), F.col("o_orderdate").alias("ordered"), F.col("o_totalprice").alias("price"))
+    out = X.FeaturePipeline(with_temporal=True, keep=["order_key"]).fit(tx).transform(tx)
+    return out.select("order_key", "price", F.col("rfm_frequency").alias("frequency"), F.col("rfm_recency_days").alias("recency"))
