@@ -57,3 +57,31 @@ def run_available(stream: DataFrame, path: str, checkpoint: str) -> DataFrame:
          .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
     q.awaitTermination()
     return stream.sparkSession.read.schema(stream.schema).parquet(path)
+
+
+def run_updates(stream: DataFrame, keys: list[str], path: str, checkpoint: str) -> DataFrame:
+    """Process what is there in update mode and stop; returns the newest row of each key, open windows included.
+
+    Every micro-batch writes its changed rows to a folder named by its number; a
+    batch that runs again after a failure replaces its own folder, so nothing is
+    counted twice.  The folders are the merge log: readers take the row of the
+    highest batch, and files are never changed in place.
+    """
+    def write(batch: DataFrame, number: int) -> None:
+        batch.write.mode("overwrite").parquet(f"{path}/batch={number}")
+
+    q = (stream.writeStream.outputMode("update").foreachBatch(write).option("checkpointLocation", checkpoint)
+         .trigger(availableNow=True).start())
+    q.awaitTermination()
+    return newest(stream.sparkSession, path, stream.schema, keys)
+
+
+def newest(spark: SparkSession, path: str, schema: StructType, keys: list[str]) -> DataFrame:
+    """The newest row of each key in a folder that `run_updates` writes; no rows where it has not written yet."""
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    if not where.getFileSystem(spark._jsc.hadoopConfiguration()).exists(where):
+        return spark.createDataFrame([], schema)
+    log = spark.read.schema(StructType([*schema.fields]).add("batch", "long")).parquet(path)
+    values = [c for c in schema.names if c not in keys]
+    last = log.groupBy(*keys).agg(F.max_by(F.struct(*values), "batch").alias("_v"))
+    return last.select(*[F.col(c) if c in keys else F.col(f"_v.{c}") for c in schema.names])
