@@ -33,6 +33,18 @@ def session_totals(df: DataFrame, gap: str = "24 hours", lateness: str = "10 min
     return g.select(tx.customer, F.col("first").alias("session_start"), F.col("last").alias("session_end"), "session_count", "session_sum")
 
 
+def open_sessions(spark: SparkSession, checkpoint: str, tx: Transactions = Transactions()) -> DataFrame:
+    """Sessions that a `session_totals` query has begun and not yet emitted, read from its state.
+
+    With what the query appended that is every session so far, each once: a
+    session leaves the state when it is emitted.
+    """
+    held = spark.read.format("statestore").load(checkpoint).select("value.*")
+    _, _, first, last, count, total = held.columns  # the grouping columns, then the aggregates in their order
+    return held.select(tx.customer, F.col(first).alias("session_start"), F.col(last).alias("session_end"), F.col(count).alias("session_count"),
+                       F.col(total).alias("session_sum"))
+
+
 def rolling_totals(df: DataFrame, width: str = "30 days", slide: str = "1 day", lateness: str = "10 minutes",
                    tx: Transactions = Transactions()) -> DataFrame:
     """Sliding-window sum, count and mean per customer."""

@@ -37,3 +37,18 @@ def test_windows_over_several_files_equal_a_batch(spark, tmp_path):
 def test_nothing_written_yet(spark, tmp_path):
     schema = spark.createDataFrame([], "k long, n long").schema
     assert ST.newest(spark, str(tmp_path / "none"), schema, ["k"]).collect() == []
+
+
+def test_closed_and_open_sessions_are_every_session(spark, tmp_path):
+    folder, out, check = (str(tmp_path / x) for x in ("in", "out", "check"))
+    start = datetime.datetime(2024, 3, 1)
+    seen = []
+    for part in range(3):
+        new = [(i % 3 if i % 4 == 0 else 0, start + datetime.timedelta(hours=7 * i), float(i)) for i in range(30 * part, 30 * part + 30)]
+        seen += new
+        spark.createDataFrame(new, SCHEMA).coalesce(1).write.mode("append").parquet(folder)
+        stream = ST.session_totals(ST.read_stream(spark, folder, "*.parquet", spark.createDataFrame([], SCHEMA).schema), tx=TX)
+        closed = ST.run_available(stream, out, check)
+        got = closed.unionByName(ST.open_sessions(spark, check, TX)).collect()
+        assert closed.count() < len(got)
+        assert sorted(map(tuple, got)) == sorted(map(tuple, ST.session_totals(spark.createDataFrame(seen, SCHEMA), tx=TX).collect()))

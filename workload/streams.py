@@ -15,14 +15,17 @@ def _stream(t):
 
 
 def _finish(t, stream, keys=None):
-    """The result of all batches: closed sessions are appended, windows are updated by their keys."""
+    """The result of all batches: windows are updated by their keys; closed sessions are appended and the open ones join them."""
     base = f"{work_folder(t.spark)}/stream-{uuid.uuid4().hex}"
-    out = ST.run_updates(stream, keys, f"{base}/out", f"{base}/checkpoint") if keys else ST.run_available(stream, f"{base}/out", f"{base}/checkpoint")
+    if keys:
+        out = ST.run_updates(stream, keys, f"{base}/out", f"{base}/checkpoint")
+    else:
+        out = ST.run_available(stream, f"{base}/out", f"{base}/checkpoint")
+        out = out.unionByName(ST.open_sessions(t.spark, f"{base}/checkpoint", EVENTS))
     return out.withColumns({c: F.col(c).cast("timestamp_ntz") for c, k in out.dtypes if k == "timestamp"})
 
 
-@query("stream_sessions", "WITH " + SESSIONS + """SELECT user_id, session_start, session_end, session_count, session_sum FROM sess
-  WHERE session_end + INTERVAL 24 HOUR <= (SELECT max(ts) FROM events) - INTERVAL 10 MINUTE""", real="session_sum", whole="session_count", digits=4)
+@query("stream_sessions", "WITH " + SESSIONS + """SELECT user_id, session_start, session_end, session_count, session_sum FROM sess""", real="session_sum", whole="session_count", digits=4)
 def stream_sessions(t):
     return _finish(t, ST.session_totals(_stream(t), tx=EVENTS))
 
