@@ -4,19 +4,23 @@ from __future__ import annotations
 
 import itertools
 import random
+import uuid
 from collections.abc import Sequence
 
-from pyspark.ml import Estimator, Model, PipelineModel
+from pyspark.ml import Estimator, Model
 from pyspark.ml.classification import GBTClassifier, LogisticRegression, RandomForestClassifier
 from pyspark.ml.evaluation import BinaryClassificationEvaluator
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.tuning import CrossValidator
-from pyspark.sql import Column, DataFrame, Window as W, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, Window as W, functions as F
+from pyspark.sql.types import StructType
 
 from retenta.functions.expr import hash_key, hash_uniform
+from retenta.operators.commits import commit, read_commits
 from retenta.operators.splits import stratified_folds
 from retenta.plans.isotonic import Isotonic, apply_isotonic, fit_isotonic
+from retenta.plans.order import number_rows
 from retenta.plans.scoretable import calibration_bins, calibration_errors, join_groups, metric_set
 from retenta.session import settle
 
@@ -230,13 +234,82 @@ def compare_calibrations(est: Estimator, df: DataFrame, ident: str, label: str =
     return calibration_quality(settle(all_rows, "calibrations"), ["method"]).orderBy("brier_score", "method")
 
 
-# registry: metadata tables, no files of our own.
+# registry: metadata tables that grow by commits.
 # models: (model_id, model_name, model_type, version, stage, experiment_id, tags, metrics map)
 
 REGISTRY_SCHEMA = ("model_id string, model_name string, model_type string, version int, stage string, experiment_id string, "
                    "tags array<string>, metrics map<string,double>")
 
 
+EXPERIMENT_SCHEMA = "experiment_id string, experiment string, models map<string,string>, config map<string,string>, results map<string,double>"
+MODEL_KEYS, EXPERIMENT_KEYS = ["model_name", "version"], ["experiment_id"]
+
+
+def registered(spark: SparkSession, path: str, upto: int | None = None) -> DataFrame:
+    """The registry's models as of a commit (default: the newest)."""
+    return read_commits(spark, f"{path}/models", _schema(REGISTRY_SCHEMA), MODEL_KEYS, upto)
+
+
+def registered_experiments(spark: SparkSession, path: str, upto: int | None = None) -> DataFrame:
+    return read_commits(spark, f"{path}/experiments", _schema(EXPERIMENT_SCHEMA), EXPERIMENT_KEYS, upto)
+
+
+def _schema(text: str) -> StructType:
+    return StructType.fromDDL(text)
+
+
+def register_models(path: str, new: DataFrame, order: Sequence[str]) -> int:
+    """Add models in one commit; returns its number.
+
+    `new` has the columns of REGISTRY_SCHEMA but for `version`, which continues
+    each name's versions along `order`, and optionally `model_id` and `stage`
+    (default `<name>_v<version>` and `registered`).  Names must not be NULL.
+    """
+    def change(current: DataFrame) -> DataFrame:
+        numbered = number_rows(new, list(order), ["model_name"], "_nth").join(next_versions(current), "model_name", "left")
+        rows = numbered.withColumn("version", (F.coalesce("next_version", F.lit(1)) + F.col("_nth") - 1).cast("int"))
+        given = {"model_id": F.concat("model_name", F.lit("_v"), F.col("version")), "stage": F.lit("registered")}
+        return rows.withColumns({c: F.coalesce(F.col(c), v) if c in rows.columns else v for c, v in given.items()})
+
+    return commit(new.sparkSession, f"{path}/models", _schema(REGISTRY_SCHEMA), MODEL_KEYS, change)
+
+
+def register_model(spark: SparkSession, path: str, model: Model, name: str, kind: str, metrics: dict[str, float],
+                   experiment_id: str | None = None, tags: Sequence[str] = ()) -> str:
+    """Save a fitted model and add it to the registry; returns the folder of the model.
+
+    The model is written before its row, so a registered model is always whole.
+    The folder is a tag `path:<folder>` of the row.
+    """
+    folder = f"{path}/artifacts/{uuid.uuid4().hex}"
+    save_model(model, folder)
+    row = (name, kind, experiment_id, [*tags, f"path:{folder}"], {k: float(v) for k, v in metrics.items()})
+    schema = "model_name string, model_type string, experiment_id string, tags array<string>, metrics map<string,double>"
+    register_models(path, spark.createDataFrame([row], schema), ["model_type"])
+    return folder
+
+
+def register_experiments(path: str, new: DataFrame) -> int:
+    """Add or replace experiments (columns of EXPERIMENT_SCHEMA) in one commit; one row per id."""
+    return commit(new.sparkSession, f"{path}/experiments", _schema(EXPERIMENT_SCHEMA), EXPERIMENT_KEYS, lambda current: new)
+
+
+def commit_promotion(spark: SparkSession, path: str, model_id: str, stage: str = "production") -> int:
+    """`promote` as a commit of the rows whose stage changes."""
+    def change(current: DataFrame) -> DataFrame:
+        return promote(current.withColumn("_was", F.col("stage")), model_id, stage).where(~F.col("stage").eqNullSafe(F.col("_was")))
+
+    return commit(spark, f"{path}/models", _schema(REGISTRY_SCHEMA), MODEL_KEYS, change)
+
+
+def commit_cleanup(spark: SparkSession, path: str, keep: int = 5) -> int:
+    """`cleanup` as a commit that marks the rows it drops; their versions are not given again while newer ones exist."""
+    def change(current: DataFrame) -> DataFrame:
+        return current.join(cleanup(current, keep).select(*MODEL_KEYS), MODEL_KEYS, "left_anti").withColumn("deleted", F.lit(True))
+
+    return commit(spark, f"{path}/models", _schema(REGISTRY_SCHEMA), MODEL_KEYS, change)
+
+
 def list_models(models: DataFrame, name: str | None = None, kind: str | None = None, tags: Sequence[str] = ()) -> DataFrame:
     """Models by name, type and any of the tags, newest version first."""
     out = models
@@ -273,10 +346,6 @@ def promote(models: DataFrame, model_id: str, stage: str = "production") -> Data
     return models.withColumn("stage", new)
 
 
-def archive(models: DataFrame, model_id: str) -> DataFrame:
-    return models.withColumn("stage", F.when(F.col("model_id") == model_id, F.lit("archived")).otherwise(F.col("stage")))
-
-
 def delete_model(models: DataFrame, model_id: str, force: bool = False) -> DataFrame:
     """Without the row; a production model only goes with force."""
     keep = F.col("model_id") != model_id
@@ -284,9 +353,15 @@ def delete_model(models: DataFrame, model_id: str, force: bool = False) -> DataF
 
 
 def cleanup(models: DataFrame, keep: int = 5) -> DataFrame:
-    """The newest `keep` versions per name, and production always."""
+    """The newest `keep` versions per name, and production always.
+
+    The limit stands alone behind the rank, so each task passes on no more than
+    `keep` rows of a name.
+    """
     order = W.partitionBy("model_name").orderBy(F.col("version").desc())
-    return models.withColumn("_k", F.row_number().over(order)).where((F.col("_k") <= keep) | (F.col("stage") == "production")).drop("_k")
+    newest = models.select("model_name", "version").withColumn("_k", F.row_number().over(order)).where(F.col("_k") <= keep)
+    kept = newest.select("model_name", "version", F.lit(True).alias("_new")).distinct()
+    return models.join(kept, ["model_name", "version"], "left").where(F.col("_new") | (F.col("stage") == "production")).drop("_new")
 
 
 def lineage(models: DataFrame, experiments: DataFrame) -> DataFrame:
@@ -296,7 +371,3 @@ def lineage(models: DataFrame, experiments: DataFrame) -> DataFrame:
 
 def save_model(model: Model, path: str) -> None:
     model.write().overwrite().save(path)
-
-
-def save_pipeline(stages: Sequence[Model], path: str) -> None:
-    PipelineModel(list(stages)).write().overwrite().save(path)

@@ -1,5 +1,7 @@
 """Training, calibration, scoring and registry queries over customers."""
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from retenta.operators import boosting as B
@@ -7,7 +9,7 @@ from retenta.operators import models as M
 from retenta.operators import transform as X
 from retenta.plans.isotonic import apply_isotonic, fit_isotonic
 from retenta.plans.scoretable import metric_set
-from retenta.session import settle
+from retenta.session import settle, work_folder
 from workload.base import SCORED_SQL, TWO_MODELS_SQL, scored, two_models
 from workload.business import METRICS_SQL
 from workload.registry import query
@@ -218,6 +220,24 @@ def registry_promote(t):
     return M.promote(registry(t), "7").select("model_id", "stage")
 
 
+@query("registry_commits", """WITH steps AS (SELECT p_partkey, p_brand, p_type, p_partkey % 2 AS step FROM part),
+  v AS (SELECT *, CAST(row_number() OVER (PARTITION BY p_brand ORDER BY step, p_partkey) AS INTEGER) AS version FROM steps),
+  s AS (SELECT *, p_brand || '_v' || version AS model_id, CASE WHEN version = 2 AND p_brand = (SELECT min(p_brand) FROM part) THEN 'production' ELSE 'registered' END AS stage FROM v)
+  SELECT model_id, p_brand AS model_name, p_type AS model_type, version, stage FROM s
+  QUALIFY row_number() OVER (PARTITION BY p_brand ORDER BY version DESC) <= 20 OR stage = 'production'""")
+def registry_commits(t):
+    """Parts registered in two commits, one of them promoted, old ones cleaned up, all read back from the newest snapshot."""
+    path = f"{work_folder(t.spark)}/registry-{uuid.uuid4().hex}"
+    base = registry(t)
+    for step in (0, 1):
+        new = base.where(F.col("model_id").cast("long") % 2 == step).withColumn("nth", F.col("model_id").cast("long")).drop("model_id", "version", "stage")
+        M.register_models(path, new, ["nth"])
+    first = t.part.agg(F.min("p_brand")).first()[0]
+    M.commit_promotion(t.spark, path, f"{first}_v2")
+    M.commit_cleanup(t.spark, path, keep=20)
+    return M.registered(t.spark, path).select("model_id", "model_name", "model_type", "version", "stage")
+
+
 @query("registry_cleanup", REG + " SELECT model_id, model_name, version FROM reg QUALIFY row_number() OVER (PARTITION BY model_name ORDER BY version DESC) <= 5 OR stage = 'production'")
 def registry_cleanup(t):
     return M.cleanup(registry(t)).select("model_id", "model_name", "version")
