@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from retenta.functions.expr import ratio
 from retenta.plans.scoretable import calibration_bins, calibration_errors, confusion_aggregates, metric_set
-from retenta.session import settle
+from retenta.session import release, settle
 
 LOGIT_EPS = 1e-15
 
@@ -34,11 +34,12 @@ def subgroup_performance(df: DataFrame, segment_cols: Sequence[str]) -> DataFram
 
 
 def calibration_slopes(df: DataFrame, by: Sequence[str], label: str = "label", score: str = "score",
-                       max_steps: int = 25, tolerance: float = 1e-9) -> DataFrame:
+                       max_steps: int = 100, tolerance: float = 1e-9) -> DataFrame:
     """Slope and intercept of label ~ logit(score) per group, L2 penalty 1/2 on the slope.
 
     Newton steps: each one is a single grouped aggregate for all groups over
     the distinct (group, score) counts; only two numbers per group travel.
+    `converged` is false for a group whose last step was still above the tolerance.
     """
     by = list(by)
     p = F.least(F.greatest(F.col(score), F.lit(LOGIT_EPS)), F.lit(1 - LOGIT_EPS))
@@ -47,7 +48,7 @@ def calibration_slopes(df: DataFrame, by: Sequence[str], label: str = "label", s
     runs = settle(runs, "calibration-runs")
     state = runs.groupBy(*by).agg(F.sum("pos").alias("p"), F.sum("n").alias("m")).where("p > 0 and p < m")
     state = state.select(*by, F.lit(0.0).alias("w"), F.lit(0.0).alias("b"), F.lit(1.0).alias("change"))
-    state = settle(state, "calibration-state")
+    state = last = settle(state, "calibration-state")
     for _ in range(max_steps):
         z = F.col("w") * F.col("x") + F.col("b")
         mu = 1 / (1 + F.exp(-z))
@@ -61,11 +62,14 @@ def calibration_slopes(df: DataFrame, by: Sequence[str], label: str = "label", s
         db = (F.col("hww") * F.col("gb") - F.col("hwb") * F.col("gw")) / det
         state = sums.select(*by, (F.col("w") - dw).alias("w"), (F.col("b") - db).alias("b"),
                             F.greatest(F.abs(dw), F.abs(db)).alias("change"))
-        state = settle(state, "calibration-state")
+        state, before = settle(state, "calibration-state"), last
+        last = state
+        release(before)
         largest = state.agg(F.max("change")).first()[0]
         if largest is None or largest < tolerance:
             break
-    return state.select(*by, F.col("w").alias("calibration_slope"), F.col("b").alias("calibration_intercept"))
+    return state.select(*by, F.col("w").alias("calibration_slope"), F.col("b").alias("calibration_intercept"),
+                        (F.col("change") < tolerance).alias("converged"))
 
 
 def calibration_fairness(df: DataFrame, segment_cols: Sequence[str], with_slopes: bool = True) -> DataFrame:

@@ -6,7 +6,7 @@ from workload.business import BINS_SQL, METRICS_SQL
 from workload.registry import query
 
 COLS = ["segment", "nation_key"]
-LONG = "WITH " + SCORED_SQL + """,
+LONG = "WITH RECURSIVE " + SCORED_SQL + """,
 long AS (
   SELECT 'segment' AS segment_name, segment, label, score FROM scored
   UNION ALL SELECT 'nation_key', CAST(nation_key AS VARCHAR), label, score FROM scored
@@ -24,6 +24,21 @@ cal AS (
   FROM bins JOIN both_classes USING (segment_name, segment) GROUP BY segment_name, segment
 )
 """
+# Newton steps of label ~ logit(score), one row per group and step
+SLOPES = """,
+logits AS (SELECT segment_name, segment, ln(p / (1e0 - p)) AS x, count(*) AS n, sum(label) AS pos
+           FROM (SELECT *, least(greatest(score, 1e-15), 1e0 - 1e-15) AS p FROM long) GROUP BY 1, 2, 3),
+newton AS (
+  SELECT segment_name, segment, 0 AS step, 0e0 AS w, 0e0 AS b FROM logits GROUP BY 1, 2 HAVING sum(pos) > 0 AND sum(pos) < sum(n)
+  UNION ALL
+  SELECT segment_name, segment, step + 1, w - (hbb * gw - hwb * gb) / (hww * hbb - hwb * hwb), b - (hww * gb - hwb * gw) / (hww * hbb - hwb * hwb)
+  FROM (SELECT segment_name, segment, step, w, b, sum((n * mu - pos) * x) + w AS gw, sum(n * mu - pos) AS gb,
+               sum(n * mu * (1e0 - mu) * x * x) + 1e0 AS hww, sum(n * mu * (1e0 - mu) * x) AS hwb, sum(n * mu * (1e0 - mu)) AS hbb
+        FROM (SELECT s.*, x, n, pos, 1e0 / (1e0 + exp(-(w * x + b))) AS mu FROM newton s JOIN logits USING (segment_name, segment) WHERE step < 30)
+        GROUP BY 1, 2, 3, 4, 5)
+),
+slopes AS (SELECT segment_name, segment, w AS calibration_slope, b AS calibration_intercept, TRUE AS converged FROM newton WHERE step = 30)
+"""
 BIAS = """,
 conf AS (
   SELECT segment_name, segment, count(*) AS n,
@@ -48,7 +63,9 @@ bias_bad AS (SELECT segment_name, violation, value, 1e-1 AS threshold FROM bias_
 """
 CAL_BAD = """,
 cal_bad AS (SELECT segment_name, 'ECE_gap' AS violation, max(ece) - min(ece) AS value, 1e-1 AS threshold FROM cal
-            GROUP BY segment_name HAVING max(ece) - min(ece) > 1e-1)
+            GROUP BY segment_name HAVING max(ece) - min(ece) > 1e-1
+            UNION ALL SELECT segment_name, 'calibration_slope_variance', stddev_samp(calibration_slope), 1e-1
+            FROM cal JOIN slopes USING (segment_name, segment) GROUP BY segment_name HAVING stddev_samp(calibration_slope) > 1e-1)
 """
 
 
@@ -61,20 +78,21 @@ def subgroup_performance(t):
     return E.subgroup_performance(scored(t), COLS)
 
 
-@query("calibration_slopes")
+@query("calibration_slopes", LONG + SLOPES + "SELECT * FROM slopes", real="calibration_slope calibration_intercept")
 def calibration_slopes(t):
     return E.calibration_slopes(E.unpivot_segments(scored(t), COLS), E.BY)
 
 
-@query("calibration_by_segment", LONG + CAL + "SELECT segment_name, segment, ece, mce, n_bins, n_samples, base_rate FROM cal",
-       real="ece mce base_rate", whole="n_bins n_samples")
+@query("calibration_by_segment", LONG + CAL + SLOPES + """SELECT segment_name, segment, ece, mce, n_bins, n_samples, base_rate,
+  calibration_slope, calibration_intercept, converged FROM cal LEFT JOIN slopes USING (segment_name, segment)""",
+       real="ece mce base_rate calibration_slope calibration_intercept", whole="n_bins n_samples")
 def calibration_by_segment(t):
-    return E.calibration_fairness(scored(t), COLS, with_slopes=False)
+    return E.calibration_fairness(scored(t), COLS)
 
 
-@query("calibration_violations", LONG + CAL + CAL_BAD + "SELECT * FROM cal_bad", real="value threshold")
+@query("calibration_violations", LONG + CAL + SLOPES + CAL_BAD + "SELECT * FROM cal_bad", real="value threshold")
 def calibration_violations(t):
-    return E.calibration_violations(scored(t), COLS, with_slopes=False)
+    return E.calibration_violations(scored(t), COLS)
 
 
 @query("bias_metrics", LONG + BIAS + "SELECT * FROM bias",
@@ -89,7 +107,7 @@ def bias_violations(t):
     return E.bias_violations(scored(t), COLS)
 
 
-@query("fairness_report", PERF + CAL + BIAS + CAL_BAD + """,
+@query("fairness_report", PERF + CAL + SLOPES + BIAS + CAL_BAD + """,
 names AS (SELECT 'segment' AS segment_name UNION ALL SELECT 'nation_key'),
 nb AS (SELECT segment_name, count(*) AS k, string_agg(violation, ', ' ORDER BY violation) AS kinds FROM bias_bad GROUP BY 1),
 nc AS (SELECT segment_name, count(*) AS k FROM cal_bad GROUP BY 1),
@@ -107,4 +125,4 @@ SELECT segment_name, c = 0 AS is_calibration_fair, b = 0 AS is_bias_free, c AS n
       || ' segment ''' || worst || ''' which shows lower performance' END) AS recommendations
 FROM rep""", whole="n_calibration_violations n_bias_violations total_violations")
 def fairness_report(t):
-    return E.fairness_report(scored(t), COLS, with_slopes=False)
+    return E.fairness_report(scored(t), COLS)
