@@ -7,10 +7,6 @@ from collections.abc import Sequence
 from pyspark.sql import Column, functions as F
 
 
-def as_col(c: Column | str) -> Column:
-    return F.col(c) if isinstance(c, str) else c
-
-
 def ratio(num: Column, den: Column, empty: float | None = None) -> Column:
     """num / den as double; `empty` (default NULL) when the divisor is 0 or NULL."""
     r = F.try_divide(num.cast("double"), den.cast("double"))
@@ -59,12 +55,6 @@ def hash_uniform(hex_text: Column) -> Column:
     return F.conv(F.substring(hex_text, 1, 8), 16, 10).cast("double") / F.lit(4294967296.0)
 
 
-def text_rank_key(text: Column, start: int = 1) -> Column:
-    """Seven bytes of a text from `start` as a long that sorts like the text."""
-    digits = F.rpad(F.hex(F.substring(F.encode(text, "UTF-8"), start, 7)), 14, "0")
-    return F.conv(digits, 16, 10).cast("long")
-
-
 def thresholds_reached(thresholds: Sequence[float], score: Column) -> Column:
     """How many of the ascending thresholds are <= score, by a balanced literal tree."""
 

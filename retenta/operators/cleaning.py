@@ -6,9 +6,8 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from retenta.functions.expr import text_rank_key
 from retenta.operators.quality import fit_quantiles, numeric_columns, text_columns, winsorise
-from retenta.plans.order import running_totals
+from retenta.plans.order import number_rows
 
 # fixed values: columns the rules apply to and the texts they replace
 INTERNET_SERVICES = ("OnlineSecurity", "OnlineBackup", "DeviceProtection", "TechSupport", "StreamingTV", "StreamingMovies")
@@ -88,11 +87,14 @@ def clean_orders(df: DataFrame) -> DataFrame:
 
 
 def fit_codes(df: DataFrame, cols: Sequence[str]) -> DataFrame:
-    """(column, value, code): position of each distinct text in sorted order, from 0."""
+    """(column, value, code): position of each distinct text in sorted order, from 0.
+
+    Values are dealt by ranges of whole texts, so a long common prefix does not
+    put them into one task.
+    """
     cells = F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).alias("value")) for c in cols])
     values = df.select(F.explode(cells).alias("r")).select("r.*").where("value is not null").distinct()
-    values = values.withColumns({"_k": text_rank_key(F.col("value")), "_k2": text_rank_key(F.col("value"), 8)})
-    ranked = running_totals(values, "_k", {"rank": F.lit(1).cast("long")}, tie="_k2", by=["column"], last_order=["value"])
+    ranked = number_rows(values, ["value"], ["column"], "rank")
     return ranked.select("column", "value", (F.col("rank") - 1).cast("int").alias("code"))
 
 

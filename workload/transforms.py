@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 from retenta.operators import neighbours as N
 from retenta.operators import splits as L
 from retenta.operators import transform as X
+from retenta.operators.widepca import fit_wide_pca
 from workload.base import SCORED_SQL, scored
 from workload.registry import query
 
@@ -168,6 +169,43 @@ def principal_components(t):
     return X.apply_pca(s, X.fit_pca(s, NUMS, 2)).select("customer_id", "pc1", "pc2")
 
 
+# customers x brands: money spent, whole units; absent pairs are zero
+SPENT = """WITH spent AS (SELECT o_custkey AS row, p_brand AS col, CAST(floor(sum(CAST(round(l_extendedprice * 100) AS BIGINT)) / 100000) AS DOUBLE) AS value
+  FROM lineitem JOIN orders ON o_orderkey = l_orderkey JOIN part ON p_partkey = l_partkey GROUP BY 1, 2),
+n AS (SELECT count(DISTINCT row) AS n FROM spent),
+means AS (SELECT col, sum(value) / any_value(n) AS mean FROM spent, n GROUP BY 1),
+products AS (SELECT a.col AS i, b.col AS j, sum(a.value * b.value) AS s FROM spent a JOIN spent b USING (row) GROUP BY 1, 2),
+cov AS (SELECT a.col AS i, b.col AS j, (coalesce(s, 0) - n * a.mean * b.mean) / (n - 1) AS c
+        FROM means a CROSS JOIN means b CROSS JOIN n LEFT JOIN products ON i = a.col AND j = b.col),
+squares AS (SELECT a.i, b.j, sum(a.c * b.c) AS c FROM cov a JOIN cov b ON a.j = b.i GROUP BY 1, 2)"""
+
+
+def spent(t):
+    lines = t.lineitem.select("l_orderkey", "l_partkey", F.round(F.col("l_extendedprice") * 100).cast("long").alias("cents"))
+    joined = lines.join(t.orders.select("o_orderkey", "o_custkey"), F.col("o_orderkey") == F.col("l_orderkey")).join(
+        t.part.select("p_partkey", "p_brand"), F.col("p_partkey") == F.col("l_partkey"))
+    return joined.groupBy(F.col("o_custkey").alias("row"), F.col("p_brand").alias("column")).agg(
+        F.floor(F.sum("cents") / F.lit(100000)).cast("double").alias("value"))
+
+
+@query("wide_pca_moments", SPENT + """, t AS (SELECT sum(c) AS total FROM cov WHERE i = j)
+SELECT total, (SELECT sum(c) FROM squares WHERE i = j) / (total * total) AS squares,
+  (SELECT sum(a.c * b.c) FROM squares a JOIN cov b ON a.j = b.i AND a.i = b.j) / (total * total * total) AS cubes FROM t""",
+       real="total squares cubes", digits=8)
+def wide_pca_moments(t):
+    """All components of spending by brand: sums of powers of their shares are traces of powers of the covariance."""
+    v, total = F.col("variance"), F.sum("variance")
+    parts = fit_wide_pca(spent(t), t.part.select("p_brand").distinct().count()).components
+    return parts.agg(total.alias("total"), (F.sum(v * v) / (total * total)).alias("squares"),
+                     (F.sum(v * v * v) / (total * total * total)).alias("cubes"))
+
+
+@query("wide_pca_components")
+def wide_pca_components(t):
+    """The first five components of spending by brand."""
+    return fit_wide_pca(spent(t), 5).components
+
+
 @query("feature_pipeline")
 def feature_pipeline(t):
     g = gappy(t)
