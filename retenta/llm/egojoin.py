@@ -172,16 +172,26 @@ def similarity_join(vectors: DataFrame, cosine: float = 0.9, id_col: str = "vec_
     n_links counts the other vectors at cosine >= `cosine`; component_id is the
     smallest id reachable over such links; kept marks vec_id = component_id.
     Vectors that are null, empty, zero, or hold null or non-finite components
-    link with nothing, nor do vectors shorter than the longest one.  A row
-    without an id links with nothing: component_id null, kept false.  Rows that
-    repeat an id with the same vector link like different rows; rows that give
-    one id several vectors share their links and component.  An empty table
-    gives an empty one; other columns are ignored.
+    link with nothing.  Vectors of different lengths do not link; those of one
+    length are compared among themselves, one join per length.  A row without
+    an id links with nothing: component_id null, kept false.  Rows that repeat
+    an id with the same vector link like different rows; rows that give one id
+    several vectors of one length share their links and component.  An empty
+    table gives an empty one; other columns are ignored.
     """
     rows = vectors.select(F.col(id_col).cast("long").alias("vec_id"), F.col(vec_col).alias("embedding"))
     rows = rows.withColumn("ok", valid_vectors(rows) & F.col("vec_id").isNotNull())
-    dim = rows.where("ok").agg(F.max(F.size("embedding"))).first()[0] or 1
-    sound = rows.where(F.col("ok") & (F.size("embedding") == dim)).select("vec_id", "embedding")
+    # an embedding model has one length, so lengths are few
+    lengths = sorted(r[0] for r in rows.where("ok").select(F.size("embedding")).distinct().collect())
+    out = rows.where(~F.col("ok")).select("vec_id", F.lit(0).cast("long").alias("n_links"), F.col("vec_id").alias("component_id"))
+    for dim in lengths:
+        sound = rows.where(F.col("ok") & (F.size("embedding") == dim)).select("vec_id", "embedding")
+        out = _links_of_length(sound, dim, cosine, block).unionByName(out)
+    return out.withColumn("kept", F.coalesce(F.col("vec_id") == F.col("component_id"), F.lit(False)))
+
+
+def _links_of_length(sound: DataFrame, dim: int, cosine: float, block: int) -> DataFrame:
+    """(vec_id, n_links, component_id) of valid vectors of one length."""
     classes = table(sound.groupBy("embedding").agg(F.min("vec_id").alias("rep"), F.count(F.lit(1)).alias("weight")), "classes")
     eps = float(np.sqrt(2 - 2 * cosine))
     blocks = _blocks(classes, dim, eps, block)
@@ -196,7 +206,4 @@ def similarity_join(vectors: DataFrame, cosine: float = 0.9, id_col: str = "vec_
     member = components(found.select(F.col("rep").alias("a"), F.col("root").alias("b")))
     named = classes.join(counts, "rep", "left").join(member.withColumnRenamed("id", "rep"), "rep", "left").select(
         "embedding", (F.col("weight") - 1 + F.coalesce("links", F.lit(0))).alias("n_links"), F.coalesce("component", "rep").alias("component_id"))
-    linked = sound.join(named, "embedding").select("vec_id", "n_links", "component_id")
-    rest = rows.where(~F.col("ok") | (F.size("embedding") != dim)).select(
-        "vec_id", F.lit(0).cast("long").alias("n_links"), F.col("vec_id").alias("component_id"))
-    return linked.unionByName(rest).withColumn("kept", F.coalesce(F.col("vec_id") == F.col("component_id"), F.lit(False)))
+    return sound.join(named, "embedding").select("vec_id", "n_links", "component_id")

@@ -92,6 +92,20 @@ def test_similarity_join_equals_brute_force(spark, dim, block):
     assert egojoin.similarity_join(df.limit(0)).count() == 0
 
 
+def test_similarity_join_of_several_lengths(spark):
+    rng = np.random.default_rng(5)
+    parts = [(d, rng.normal(size=(6, d)).repeat(n, axis=0) + rng.normal(size=(6 * n, d)) * 0.1) for d, n in ((5, 4), (12, 7), (1, 1))]
+    rows = [(i, v.astype(np.float32).tolist(), None) for i, v in enumerate(v for _, m in parts for v in m)] + [(500, None, 1), (501, [0.0] * 5, 1)]
+    got = {r["vec_id"]: (r["n_links"], r["component_id"], r["kept"]) for r in egojoin.similarity_join(spark.createDataFrame(rows, VECS)).collect()}
+    sound = [(i, np.array(v) / np.linalg.norm(v)) for i, v, _ in rows if v is not None and any(v)]
+    near = {i: {j for j, w in sound if j != i and len(w) == len(v) and v @ w >= 0.9} for i, v in sound}
+    label = {i: i for i, _ in sound}
+    for _ in sound:
+        label = {i: min([label[i], *(label[j] for j in near[i])]) for i in label}
+    want = {i: (len(near[i]), label[i], label[i] == i) for i in label} | {500: (0, 500, True), 501: (0, 501, True)}
+    assert got == want and sum(n for n, _, _ in got.values()) > 100
+
+
 def test_nearest_recall_order_and_odd_rows(spark):
     rng = np.random.default_rng(2)
     x = rng.standard_normal((1200, 24)) * rng.uniform(0.5, 2, (1200, 1))
