@@ -173,38 +173,68 @@ def fit_gamma_gamma(summary: DataFrame, penalty: float = 0.01) -> Fit | None:
     return Fit(tuple(float(v) for v in p), ll, int(n))
 
 
-def _hyp2f1(a: np.ndarray, b: np.ndarray, c: np.ndarray, z: np.ndarray) -> np.ndarray:
-    """Gauss series for 0 <= z < 1, vectorised; stops when every term is negligible."""
-    term, total = np.ones_like(z), np.ones_like(z)
-    for k in range(100_000):
-        term = term * (a + k) * (b + k) / ((c + k) * (k + 1)) * z
-        total = total + term
-        if np.all(np.abs(term) <= 1e-14 * np.abs(total)):
-            break
-    return total
+class NotConverged(ArithmeticError):
+    """A series whose terms are not negligible after the allowed number."""
+
+
+def _c_hyp2f1(a: np.ndarray, b: np.ndarray, c: np.ndarray, z: np.ndarray, most: int = 2_000_000) -> np.ndarray:
+    """c x Gauss series for 0 <= z < 1 and c > -1, finite at c = 0 too; rows leave as soon as their terms are negligible."""
+    a, b, c, z = np.broadcast_arrays(*(np.asarray(v, float) for v in (a, b, c, z)))
+    term = a * b * z
+    total = c + term
+    going = np.flatnonzero(np.abs(term) > 1e-15 * np.abs(total))
+    for k in range(1, most):
+        if not len(going):
+            return total
+        term = term[going] if k == 1 else term
+        A, B, C, Z = a[going], b[going], c[going], z[going]
+        term = term * (A + k) * (B + k) / ((C + k) * (k + 1)) * Z
+        total[going] += term
+        # terms may still grow before they fall, so a row leaves only behind the turn
+        on = (np.abs(term) > 1e-15 * np.abs(total[going])) | ((A + k) * (B + k) * Z > (C + k) * (k + 1))
+        going, term = going[on], term[on]
+    raise NotConverged(f"{len(going)} rows after {most} terms: their observation is too short for the horizon")
+
+
+def _expected(r: float, alpha: float, a: float, b: float, horizon: float, x: np.ndarray, tx: np.ndarray, T: np.ndarray) -> np.ndarray:
+    """Conditional expectation of purchases in the horizon; a = 1 is the limit from both sides."""
+    if abs(a - 1) < 1e-4:
+        return (_expected(r, alpha, 1 - 1.5e-4, b, horizon, x, tx, T) + _expected(r, alpha, 1 + 1.5e-4, b, horizon, x, tx, T)) / 2
+    c = a + b + x - 1
+    base = (alpha + T) / (alpha + T + horizon)
+    numer = (c - base ** (r + x) * _c_hyp2f1(r + x, b + x, c, horizon / (alpha + T + horizon))) / (a - 1)
+    gone = np.where(x > 0, a / (b + np.maximum(x, 1) - 1) * ((alpha + T) / (alpha + tx)) ** (r + x), 0.0)
+    return numer / (1 + gone)
 
 
 def expected_purchases(fit: Fit, horizon: float) -> Callable[[Column, Column, Column], Column]:
-    """Arrow function (frequency, recency, T) -> expected purchases in the next `horizon` days."""
-    r, alpha, a, b = fit.params
+    """Arrow function (frequency, recency, T) -> expected purchases in the next `horizon` days.
+
+    Finite for all positive parameters; NULL inputs give NULL, and a series that
+    does not converge raises NotConverged instead of returning what it has.
+    """
+    params = fit.params
 
     @F.pandas_udf(DoubleType())
     def expect(x: pd.Series, tx: pd.Series, T: pd.Series) -> pd.Series:
-        x, tx, T = (s.to_numpy(float) for s in (x, tx, T))
-        hyp = _hyp2f1(r + x, b + x, a + b + x - 1, horizon / (alpha + T + horizon))
-        base = (alpha + T) / (alpha + T + horizon)
-        numer = (a + b + x - 1) / (a - 1) * (1 - base ** (r + x) * hyp)
-        gone = np.where(x > 0, a / (b + np.maximum(x, 1) - 1) * ((alpha + T) / (alpha + tx)) ** (r + x), 0.0)
-        return pd.Series(numer / (1 + gone))
+        x, tx, T = (s.to_numpy(float, na_value=np.nan) for s in (x, tx, T))
+        known = ~(np.isnan(x) | np.isnan(tx) | np.isnan(T))
+        out = np.full(len(x), np.nan)
+        out[known] = _expected(*params, horizon, x[known], tx[known], T[known])
+        return pd.Series(out).astype(object).where(known, None)
 
     return expect
 
 
 def expected_value_per_purchase(fit: Fit, x: Column, m: Column) -> Column:
-    """Gamma-Gamma conditional mean: own average shrunk towards the population mean."""
+    """Gamma-Gamma conditional mean: own average shrunk towards the population mean.
+
+    One fraction, so q = 1 needs no care; where even it has no positive divisor
+    (q < 1 and few purchases) the mean is infinite and the own average stays.
+    """
     p, q, v = fit.params
-    own = p * x / (p * x + q - 1)
-    return (1 - own) * F.lit(v * p / (q - 1)) + own * m
+    below = p * x + F.lit(q - 1)
+    return F.when(below > 0, F.lit(p) * (v + x * m) / below).otherwise(m)
 
 
 def with_interval(df: DataFrame, share: float) -> DataFrame:
