@@ -181,6 +181,12 @@ def mix_documents(docs: DataFrame, weights=WEIGHTS, share: float = SHARE, most:
 
 
 def _taken_text(text: Column) -> Column:
+    """The words of `runs`, joined by a blank.
+
+    The words enter as the one element of an outer array: the text is split
+    once, not once per run.
+    """
     words = F.filter(F.split(text, BLANK), lambda w: w != "")
-    cut = F.array_join(F.flatten(F.transform("runs", lambda r: F.slice(words, (r["from"] + 1).cast("int"), (r["to"] - r["from"]).cast("int")))), " ")
-    return F.when(F.col("words") == F.col("size"), text).otherwise(cut)
+    pick = F.transform(F.array(words), lambda all_words: F.flatten(F.transform(
+        "runs", lambda r: F.slice(all_words, (r["from"] + 1).cast("int"), (r["to"] - r["from"]).cast("int")))))
+    return F.when(F.col("words") == F.col("size"), text).otherwise(F.array_join(pick[0], " "))

@@ -243,3 +243,13 @@ def test_pipeline_stages(spark):
     words = d.select(F.sum(F.size(F.split(F.trim("text"), r"\s+")))).first()[0]
     assert abs(words / (1.5 * c.where("n_chars > 0").select(F.sum(F.size(F.split(F.trim("text"), r"\s+")))).first()[0]) - 1) < 0.05
     assert pack(spark, d, "").agg(F.sum("length")).first()[0] > words
+
+
+def test_taken_words_of_a_very_long_text(spark):
+    n = 1_000_000
+    runs = [(k, min(k + 64, n)) for k in range(0, n, 128)]
+    df = spark.range(1).select(F.array_join(F.transform(F.sequence(F.lit(0), F.lit(n - 1)), lambda i: F.concat(F.lit("w"), i.cast("string"))), " \t").alias("text"),
+                               F.lit(n // 2).alias("words"), F.lit(n).alias("size"))
+    blocks = F.transform(F.sequence(F.lit(0), F.lit(n - 1), F.lit(128)), lambda k: F.struct(k.cast("long").alias("from"), F.least(k + 64, F.lit(n)).cast("long").alias("to")))
+    got = df.withColumn("runs", blocks).select(mixing._taken_text(F.col("text")).alias("t")).first()["t"]
+    assert got == " ".join(f"w{i}" for a, b in runs for i in range(a, b))
