@@ -196,6 +196,11 @@ def _c_hyp2f1(a: np.ndarray, b: np.ndarray, c: np.ndarray, z: np.ndarray, most:
     raise NotConverged(f"{len(going)} rows after {most} terms: their observation is too short for the horizon")
 
 
+def _hyp2f1(a: np.ndarray, b: np.ndarray, c: np.ndarray, z: np.ndarray) -> np.ndarray:
+    """Gauss series for 0 <= z < 1 and c > 0."""
+    return _c_hyp2f1(a, b, c, z) / c
+
+
 def _expected(r: float, alpha: float, a: float, b: float, horizon: float, x: np.ndarray, tx: np.ndarray, T: np.ndarray) -> np.ndarray:
     """Conditional expectation of purchases in the horizon; a = 1 is the limit from both sides."""
     if abs(a - 1) < 1e-4:
