@@ -18,6 +18,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from retenta.functions.expr import hash_uniform, ratio
 from retenta.operators.splits import sample_rows
+from retenta.plans.order import with_positions
 from retenta.plans.quantiles import fit_quantiles
 from retenta.plans.trees import Trees
 
@@ -89,23 +90,52 @@ def _cells(df: DataFrame, features: Sequence[str], *keep: str) -> DataFrame:
     return df.select(*keep, *[F.col(f"`{c}`").cast("double").alias(f"_x{i}") for i, c in enumerate(features)])
 
 
-def tree_attributions(df: DataFrame, ident: str, features: Sequence[str], trees: Trees) -> DataFrame:
-    """(id, feature, contribution): exact Shapley values of a tree ensemble's margin, in one pass over the rows.
+def _placed(df: DataFrame, features: Sequence[str], trees: Trees, *keep: str) -> DataFrame:
+    """`keep` columns and _x0, _x1, ...: the trees' smallest cut that each feature's value does not exceed, else infinity.
 
-    A row's contributions add up to its margin less the ensemble's expectation
-    over its training rows.  Values without a number go where the trees send
-    them, to the right.  Features that no tree uses get 0.
+    Rows with equal numbers go the same ways in every tree, so one of them answers for all.
     """
-    names = list(features)
+    cells = _cells(df, features, *keep)
+    cuts, top = trees.cuts(len(features)), F.lit(float("inf"))
+    names = [f"_x{i}" for i in range(len(features))]
+    cells = cells.withColumns({x: F.coalesce(F.col(x), top) for x in names})
+    cells = cells.withColumns({f"_cuts{x}": F.array(*map(F.lit, c.tolist())).cast("array<double>") for x, c in zip(names, cuts)})
+    found = with_positions(cells, [(x, f"_cuts{x}", f"_at{x}") for x in names], max(map(len, cuts), default=0))
+    return found.select(*keep, *[F.coalesce(F.get(F.col(f"_cuts{x}"), F.col(f"_at{x}")), top).alias(x) for x in names])
+
+
+def _spread(cells: DataFrame) -> DataFrame:
+    """Few small rows that cost much each, dealt over all tasks: a given number is not coalesced by their size."""
+    spark = cells.sparkSession
+    return cells.repartition(max(int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism))
+
+
+def _explained(df: DataFrame, ident: str, features: Sequence[str], trees: Trees, answer: Callable[[np.ndarray], np.ndarray]) -> DataFrame:
+    """(id, values): the answer for each row, computed once for all rows between the same cuts."""
+    count = len(features)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             if len(b):
-                found = trees.attributions(_matrix(b, 1, len(names)), len(names))
-                yield pa.RecordBatch.from_arrays([b.column(0), pa.array(list(found), pa.list_(pa.float64()))], [ident, "values"])
+                found = pa.array(list(answer(_matrix(b, 0, count))), pa.list_(pa.float64()))
+                yield pa.RecordBatch.from_arrays([*b.columns, found], [*b.schema.names, "values"])
 
-    kind = df.schema[ident].dataType.simpleString()
-    rows = _cells(df, names, ident).mapInArrow(run, f"`{ident}` {kind}, values array<double>")
+    rows = _placed(df, features, trees, ident)
+    names = [f"_x{i}" for i in range(count)]
+    cells = _spread(rows.select(*names).distinct())
+    return rows.join(cells.mapInArrow(run, ", ".join([*(f"{x} double" for x in names), "values array<double>"])), names).select(ident, "values")
+
+
+def tree_attributions(df: DataFrame, ident: str, features: Sequence[str], trees: Trees) -> DataFrame:
+    """(id, feature, contribution): exact Shapley values of a tree ensemble's margin.
+
+    A row's contributions add up to its margin less the ensemble's expectation
+    over its training rows.  Values without a number go where the trees send
+    them, to the right.  Features that no tree uses get 0.  Rows between the
+    same cuts are explained once.
+    """
+    names = list(features)
+    rows = _explained(df, ident, names, trees, lambda x: trees.attributions(x, len(names)))
     return rows.select(ident, F.posexplode("values").alias("_at", "contribution")).select(
         ident, F.array(*map(F.lit, names))[F.col("_at")].alias("feature"), "contribution")
 
@@ -143,16 +173,8 @@ def tree_interactions(df: DataFrame, ident: str, features: Sequence[str], trees:
     names = list(features)
     i, j = np.triu_indices(len(names))
     double = np.where(i == j, 1.0, 2.0)
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            if len(b):
-                found = trees.interactions(_matrix(b, 1, len(names)), len(names))[:, i, j] * double
-                yield pa.RecordBatch.from_arrays([b.column(0), pa.array(list(found), pa.list_(pa.float64()))], [ident, "values"])
-
-    kind = df.schema[ident].dataType.simpleString()
     pairs = F.array(*[F.struct(F.lit(names[a]).alias("feature1"), F.lit(names[c]).alias("feature2")) for a, c in zip(i, j)])
-    rows = _cells(df, names, ident).mapInArrow(run, f"`{ident}` {kind}, values array<double>")
+    rows = _explained(df, ident, names, trees, lambda x: trees.interactions(x, len(names))[:, i, j] * double)
     return rows.select(ident, F.posexplode("values").alias("_at", "contribution")).withColumn("_p", pairs[F.col("_at")]).select(
         ident, "_p.feature1", "_p.feature2", "contribution")
 
@@ -160,7 +182,8 @@ def tree_interactions(df: DataFrame, ident: str, features: Sequence[str], trees:
 def tree_interaction_strengths(df: DataFrame, features: Sequence[str], trees: Trees, top: int = 20) -> DataFrame:
     """(feature1, feature2, strength): mean absolute interaction of all rows' pairs, strongest first.
 
-    Tasks add up their own rows, so a row a pair and task is all that is shuffled.
+    Rows between the same cuts are counted and explained once.  Tasks add up
+    their own, so a row a pair and task is all that is shuffled after that.
     """
     names = list(features)
     i, j = np.triu_indices(len(names), 1)
@@ -169,12 +192,14 @@ def tree_interaction_strengths(df: DataFrame, features: Sequence[str], trees: Tr
         total, n = np.zeros(len(i)), 0
         for b in batches:
             if len(b):
-                total += np.abs(2 * trees.interactions(_matrix(b, 0, len(names)), len(names))[:, i, j]).sum(axis=0)
-                n += len(b)
+                rows = b.column(len(names)).to_numpy()
+                total += rows @ np.abs(2 * trees.interactions(_matrix(b, 0, len(names)), len(names))[:, i, j])
+                n += int(rows.sum())
         yield pa.RecordBatch.from_arrays([pa.array([names[a] for a in i], pa.string()), pa.array([names[c] for c in j], pa.string()),
                                           pa.array(total), pa.array(np.full(len(i), n))], ["feature1", "feature2", "total", "n"])
 
-    parts = _cells(df, names).mapInArrow(run, "feature1 string, feature2 string, total double, n long")
+    cells = _placed(df, names, trees).groupBy(*[f"_x{k}" for k in range(len(names))]).agg(F.count(F.lit(1)).alias("_n"))
+    parts = _spread(cells).mapInArrow(run, "feature1 string, feature2 string, total double, n long")
     out = parts.groupBy("feature1", "feature2").agg((F.sum("total") / F.nullif(F.sum("n"), F.lit(0))).alias("strength"))
     return out.orderBy(F.col("strength").desc(), "feature1", "feature2").limit(top)
 

@@ -13,8 +13,10 @@ Pairs leave out two factors.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import cached_property
+from itertools import combinations
 
 import numpy as np
 from pyspark.ml import Model
@@ -23,6 +25,7 @@ from pyspark.sql import SparkSession, functions as F
 from retenta.session import work_folder
 
 CELLS = 1 << 21  # numbers held at once per array while rows are explained
+TABLED = 4       # features of a leaf up to which its answers are looked up
 
 
 @dataclass
@@ -82,6 +85,10 @@ class Trees:
                     todo += [(int(self.left[at]), c * a / (a + b)), (int(self.right[at]), c * b / (a + b))]
         return Trees(self.roots, self.feature, self.threshold, self.left, self.right, self.value, cover, self.base)
 
+    def cuts(self, features: int) -> list[np.ndarray]:
+        """Each feature's distinct thresholds, ascending: rows between the same cuts of every feature take the same ways."""
+        return [np.unique(self.threshold[self.feature == f]) for f in range(features)]
+
     @cached_property
     def boxes(self) -> dict[int, tuple[np.ndarray, ...]]:
         """Leaves by the number of features on their path: (feature, low, high, share) arrays of leaves x features, and values."""
@@ -91,7 +98,7 @@ class Trees:
             node, path = todo.pop()
             f = int(self.feature[node])
             if f < 0:
-                found.setdefault(len(path), []).append((list(path), list(path.values()), self.value[node]))
+                found.setdefault(len(path), []).append((sorted(path), [path[k] for k in sorted(path)], self.value[node]))
                 continue
             low, high, share = path.get(f, (-np.inf, np.inf, 1.0))
             cut, cover = self.threshold[node], self.cover[node]
@@ -99,6 +106,7 @@ class Trees:
                 todo.append((int(child), {**path, f: (*span, share * self.cover[child] / cover)}))
         out = {}
         for m, leaves in found.items():
+            leaves.sort(key=lambda leaf: leaf[0])
             spans = np.array([s for _, s, _ in leaves], np.float64).reshape(len(leaves), m, 3)
             out[m] = (np.array([k for k, _, _ in leaves], np.int64).reshape(len(leaves), m), spans[:, :, 0], spans[:, :, 1], spans[:, :, 2],
                       np.array([v for _, _, v in leaves]))
@@ -109,51 +117,109 @@ class Trees:
         """The margin of no feature at all: what a row's attributions add to, up to its own margin."""
         return self.base + float(sum((b[4] * b[3].prod(axis=1)).sum() for b in self.boxes.values()))
 
-    def _parts(self, x: np.ndarray):
-        """(rows, features, inside - share, factors, weighted product over t) of pieces that fit CELLS."""
+    def _pieces(self, x: np.ndarray, most: int, fewest: int = 1):
+        """(rows, features, inside, share, value, leaves) of pieces that fit CELLS, of leaves with fewest..most features."""
         for m, (feature, low, high, share, value) in self.boxes.items():
-            if not m:
+            if not fewest <= m <= most:
                 continue
-            t, w = np.polynomial.legendre.leggauss(m // 2 + 1)
-            t, w = (t + 1) / 2, w / 2
-            leaves = max(1, min(len(value), CELLS // (m * len(t))))
-            each = max(1, CELLS // (leaves * m * len(t)))
+            size = m * (m // 2 + 1)
+            leaves = max(1, min(len(value), CELLS // size))
+            each = max(1, CELLS // (leaves * size))
             for b in range(0, len(value), leaves):
                 own = slice(b, b + leaves)
+                open_end = np.isposinf(high[own])
                 for a in range(0, len(x), each):
                     rows = slice(a, a + each)
-                    v = x[rows][:, feature[own]]
-                    inside = (~(v <= low[own]) & ((v <= high[own]) | np.isposinf(high[own]))).astype(np.float64)
-                    factor = inside[..., None] * t + share[own][..., None] * (1 - t)
-                    yield rows, feature[own], inside - share[own], factor, factor.prod(axis=2) * w * value[own][:, None]
+                    inside = []
+                    for k in range(m):
+                        v = x[rows][:, feature[own, k]]
+                        inside.append(~(v <= low[own, k]) & ((v <= high[own, k]) | open_end[:, k]))
+                    yield rows, feature[own], inside, share[own], value[own], own
+
+    def _tables(self, pairs: bool) -> dict[int, list[np.ndarray]]:
+        """By the number of features of a leaf, up to TABLED: what it adds to each (or each pair), leaves x patterns of features inside."""
+        out = {}
+        for m, (_, _, _, share, value) in self.boxes.items():
+            if 1 <= m <= TABLED:
+                bits = (np.arange(1 << m)[:, None] >> np.arange(m) & 1).astype(np.float64)
+                parts = (_pair_parts if pairs else _parts)(np.broadcast_to(bits[:, None, :], (1 << m, len(value), m)), share, value)
+                out[m] = [part.T.ravel() for part in parts]
+        return out
+
+    @cached_property
+    def single_tables(self) -> dict[int, list[np.ndarray]]:
+        return self._tables(False)
+
+    @cached_property
+    def pair_tables(self) -> dict[int, list[np.ndarray]]:
+        return self._tables(True)
+
+    def _summed(self, x: np.ndarray, size: int, pairs: bool, place) -> np.ndarray:
+        """Sums over all leaves of each part of theirs; place(features, number of the part) gives the column it goes to.
+
+        A leaf's parts depend on a row only by which of its features are inside,
+        so leaves of few features look them up.
+        """
+        out = np.zeros((len(x), size))
+        tables = self.pair_tables if pairs else self.single_tables
+        for rows, feature, inside, _, value, own in self._pieces(x, TABLED):
+            m = feature.shape[1]
+            at = np.broadcast_to(np.arange(own.start, own.start + len(value)) << m, inside[0].shape).copy()
+            for k, part in enumerate(inside):
+                at += part.astype(np.int64) << k
+            for k, table in enumerate(tables[m]):
+                _add(out[rows], table[at], place(feature, k))
+        for rows, feature, inside, share, value, _ in self._pieces(x, len(self.feature), TABLED + 1):
+            parts = (_pair_parts if pairs else _parts)(np.stack(inside, axis=2).astype(np.float64), share, value)
+            for k, part in enumerate(parts):
+                _add(out[rows], part, place(feature, k))
+        return out
 
     def attributions(self, x: np.ndarray, features: int) -> np.ndarray:
         """Exact Shapley values, rows x features; a row's values add up to its margin less the expectation."""
-        out = np.zeros((len(x), features))
-        for rows, feature, gain, factor, product in self._parts(x):
-            part = gain * (product[:, :, None, :] / factor).sum(axis=3)
-            _add(out[rows], part.reshape(len(part), -1), feature.ravel())
-        return out
+        return self._summed(x, features, False, lambda feature, k: feature[:, k])
 
     def interactions(self, x: np.ndarray, features: int) -> np.ndarray:
         """Exact interaction values, rows x features x features: symmetric, a pair's effect in halves, a row's sums are its attributions."""
-        out = np.zeros((len(x), features * features))
-        for rows, feature, gain, factor, product in self._parts(x):
-            for i in range(feature.shape[1]):
-                for j in range(i + 1, feature.shape[1]):
-                    part = 0.5 * gain[:, :, i] * gain[:, :, j] * (product / (factor[:, :, i] * factor[:, :, j])).sum(axis=2)
-                    _add(out[rows], part, feature[:, i] * features + feature[:, j])
-                    _add(out[rows], part, feature[:, j] * features + feature[:, i])
-        out = out.reshape(len(x), features, features)
+        def place(feature: np.ndarray, k: int) -> np.ndarray:
+            i, j = list(combinations(range(feature.shape[1]), 2))[k]
+            return feature[:, i] * features + feature[:, j]
+
+        out = self._summed(x, features * features, True, place).reshape(len(x), features, features)
+        out += out.transpose(0, 2, 1).copy()
         out[:, np.arange(features), np.arange(features)] = self.attributions(x, features) - out.sum(axis=2)
         return out
 
 
+def _factors(inside: np.ndarray, share: np.ndarray, value: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """inside - share, the factors over t, and their weighted product, for rows x leaves x features."""
+    t, w = np.polynomial.legendre.leggauss(share.shape[1] // 2 + 1)
+    t, w = (t + 1) / 2, w / 2
+    factor = inside[..., None] * t + share[..., None] * (1 - t)
+    return inside - share, factor, factor.prod(axis=2) * w * value[:, None]
+
+
+def _parts(inside: np.ndarray, share: np.ndarray, value: np.ndarray) -> Iterator[np.ndarray]:
+    """What each leaf adds to each of its features, rows x leaves."""
+    gain, factor, product = _factors(inside, share, value)
+    for i in range(share.shape[1]):
+        yield gain[:, :, i] * (product / factor[:, :, i]).sum(axis=2)
+
+
+def _pair_parts(inside: np.ndarray, share: np.ndarray, value: np.ndarray) -> Iterator[np.ndarray]:
+    """Half of what each leaf adds to each pair of its features, rows x leaves."""
+    gain, factor, product = _factors(inside, share, value)
+    for i, j in combinations(range(share.shape[1]), 2):
+        yield 0.5 * gain[:, :, i] * gain[:, :, j] * (product / (factor[:, :, i] * factor[:, :, j])).sum(axis=2)
+
+
 def _add(out: np.ndarray, part: np.ndarray, place: np.ndarray) -> None:
     """out[:, place[k]] += part[:, k] for every k, places repeated."""
-    order = np.argsort(place, kind="stable")
-    starts = np.flatnonzero(np.concatenate([[True], np.diff(place[order]) > 0]))
-    out[:, place[order][starts]] += np.add.reduceat(part[:, order], starts, axis=1)
+    if (np.diff(place) < 0).any():
+        order = np.argsort(place, kind="stable")
+        part, place = part[:, order], place[order]
+    starts = np.flatnonzero(np.concatenate([[True], np.diff(place) > 0]))
+    out[:, place[starts]] += np.add.reduceat(part, starts, axis=1)
 
 
 def from_ml(model: Model, spark: SparkSession) -> Trees:

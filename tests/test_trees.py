@@ -170,3 +170,38 @@ def test_odd_tables(spark):
     model = boosting.boost(one, "id", NAMES, trees=3)
     assert model.trees.margin(np.array([[1.0, np.nan, 2.0, 3.0]]))[0] > 0
     assert [r["contribution"] for r in explain.tree_attributions(one, "id", NAMES, model.trees).collect()] == [0.0] * 20
+
+
+def few(spark):
+    class FewRows(Trees):
+        """Trees that refuse to explain more rows at once than there are ways through them."""
+
+        def attributions(self, x, features):
+            assert len(x) <= 6
+            return Trees.attributions(self, x, features)
+
+    rows = [(i, None if i % 50 == 0 else float("nan") if i % 50 == 1 else float(i % 7), float(i % 11)) for i in range(900)]
+    df = spark.createDataFrame(rows, "id long, a double, b double")
+    own = (np.array([0]), np.array([0, 1, 1, -1, -1, -1, -1]), np.array([3.0, 4.5, 8.0, 0, 0, 0, 0]), np.array([1, 3, 5, -1, -1, -1, -1]),
+           np.array([2, 4, 6, -1, -1, -1, -1]), np.array([0, 0, 0, 0.9, 0.7, 0.4, 0.1]), np.array([10.0, 6, 4, 2, 4, 3, 1]))
+    return df, np.array([[np.nan if r[1] is None else r[1], r[2]] for r in rows]), FewRows(*own), Trees(*own)
+
+
+def test_rows_between_the_same_cuts_are_explained_once(spark):
+    df, x, t, plain = few(spark)
+    got = {(r["id"], r["feature"]): r["contribution"] for r in explain.tree_attributions(df, "id", ["a", "b"], t).collect()}
+    assert len(got) == 1800 and np.allclose([[got[i, "a"], got[i, "b"]] for i in range(900)], plain.attributions(x, 2))
+    both = {(r["id"], r["feature1"], r["feature2"]): r["contribution"] for r in explain.tree_interactions(df, "id", ["a", "b"], t).collect()}
+    assert len(both) == 2700 and np.allclose([both[i, "a", "b"] for i in range(900)], 2 * plain.interactions(x, 2)[:, 0, 1])
+    twice = df.unionByName(df.where("a < 2"))
+    weight = np.where(x[:, 0] < 2, 2, 1)
+    strength = explain.tree_interaction_strengths(twice, ["a", "b"], t).first()["strength"]
+    assert abs(strength - np.average(2 * np.abs(plain.interactions(x, 2)[:, 0, 1]), weights=weight)) < 1e-12
+
+
+def test_looked_up_answers_equal_integrated_ones(fitted, monkeypatch):
+    _, x, _, model = fitted
+    t = model.trees
+    looked = t.attributions(x, 4), t.interactions(x, 4)
+    monkeypatch.setattr("retenta.plans.trees.TABLED", 0)
+    assert all(np.allclose(a, b, atol=1e-12) for a, b in zip(looked, (t.attributions(x, 4), t.interactions(x, 4))))

@@ -25,10 +25,14 @@ def linear(t):
     return X.linear_attributions(scored(t), "customer_id", WEIGHTS)
 
 
-def prepared(t):
+def scaled(t):
     s = scored(t)
     s = T.apply_numeric(s, T.fit_numeric(s, FEATURES)).withColumn("label", F.col("label").cast("double"))
-    s = settle(s.select("customer_id", "label", *FEATURES), "explained")
+    return settle(s.select("customer_id", "label", *FEATURES), "explained")
+
+
+def prepared(t):
+    s = scaled(t)
     vec = M.assemble(s, FEATURES, ["customer_id", "label"])
     return s, X.ml_scorer(M.logistic(s.count()).fit(vec), FEATURES)
 
@@ -72,7 +76,7 @@ def shapley_attributions(t):
 
 def forest_trees(t):
     """A forest of 100 trees down to depth 10 on the scaled features, as a node table."""
-    s, _ = prepared(t)
+    s = scaled(t)
     model = M.forest(numTrees=100, maxDepth=10).fit(M.assemble(s, FEATURES, ["customer_id", "label"]))
     return s, P.from_ml(model, s.sparkSession)
 
