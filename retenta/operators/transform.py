@@ -7,8 +7,9 @@ from collections.abc import Sequence
 from dataclasses import asdict, dataclass, field
 from itertools import combinations
 
-from pyspark.ml.feature import PCA, OneHotEncoder, VectorAssembler
+from pyspark.ml.feature import PCA, VectorAssembler
 from pyspark.ml.functions import array_to_vector, vector_to_array
+from pyspark.ml.linalg import DenseVector, SparseVector, VectorUDT
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from retenta.functions.expr import ratio
@@ -121,21 +122,37 @@ def sparse_one_hot(df: DataFrame, cols: Sequence[str], codes: DataFrame, name: s
     """
     sizes = {r["column"]: r["size"] for r in codes.where("filled").select("column", "size").collect()}
     used = [c for c in cols if sizes.get(c, 0) > 0]
-    out = df
+    out, places, first = df, [], 0
     for i, c in enumerate(used):
         own = codes.where(F.col("column") == c)
         most = own.where("filled").agg(F.max("value")).scalar()
         table = own.select(F.col("value").alias(f"_v{i}"), F.col("code").alias(f"_c{i}"))
         out = out.withColumn(f"_v{i}", F.coalesce(F.col(f"`{c}`").cast("string"), most)).join(table, f"_v{i}", "left")
         # a code beyond the last place has no place either
-        out = out.withColumn(f"_c{i}", F.when(F.col(f"_c{i}") >= 0, F.col(f"_c{i}")).otherwise(sizes[c]).cast("double"))
+        places.append(F.when(F.col(f"_c{i}").between(0, sizes[c] - 1), F.col(f"_c{i}") + first))
+        first += sizes[c]
     if not used:
         return out.withColumn(name, array_to_vector(F.array().cast("array<double>")))
-    spark = df.sparkSession
-    last = spark.createDataFrame([tuple(float(sizes[c] - 1) for c in used)], ", ".join(f"_c{i} double" for i in range(len(used))))
-    encoder = OneHotEncoder(inputCols=[f"_c{i}" for i in range(len(used))], outputCols=[f"_o{i}" for i in range(len(used))], handleInvalid="keep").fit(last)
-    joined = VectorAssembler(inputCols=[f"_o{i}" for i in range(len(used))], outputCol=name).transform(encoder.transform(out))
-    return joined.drop(*[f"_{k}{i}" for i in range(len(used)) for k in "vco"])
+    # the number of places is all that a later stage is told of them: names for each would grow with the categories
+    vector = _indicator(first)(F.array_compact(F.array(*places))).alias(name, metadata={"ml_attr": {"num_attrs": first}})
+    return out.select("*", vector).drop(*[f"_{k}{i}" for i in range(len(used)) for k in "vc"])
+
+
+def _indicator(size: int):
+    """Ascending places to a vector of ones there, dense only where that is shorter."""
+    def vector(places: list[int]):
+        found = SparseVector(size, places, [1.0] * len(places))
+        return found if 1.5 * (len(places) + 1) < size else DenseVector(found.toArray())
+
+    return F.udf(vector, VectorUDT())
+
+
+def places_on(vector: Column) -> Column:
+    """Array of (place, value) of a vector's entries other than zero; its length follows them, not the vector's size."""
+    v = F.unwrap_udt(vector)
+    sparse = F.arrays_zip(v["indices"].alias("place"), v["values"].alias("value"))
+    dense = F.transform(v["values"], lambda x, i: F.struct(i.alias("place"), x.alias("value")))
+    return F.filter(F.when(v["type"] == 0, sparse).otherwise(dense), lambda r: r["value"] != 0)
 
 
 def fit_target_encoding(df: DataFrame, col: str, label: str) -> DataFrame:

@@ -1,9 +1,9 @@
 """Sparse category features: any number of categories, NULLs, unseen values."""
 
-from pyspark.ml.linalg import DenseVector
+from pyspark.ml.linalg import DenseVector, SparseVector
 from pyspark.sql import functions as F
 
-from retenta.operators.transform import fit_category_codes, sparse_one_hot
+from retenta.operators.transform import fit_category_codes, places_on, sparse_one_hot
 from retenta.plans.order import number_rows
 
 
@@ -41,3 +41,18 @@ def test_row_numbers_along_text_with_ties(spark):
     got = number_rows(df, ["v"], ["g"], "n").collect()
     assert [r["v"] for r in sorted((r for r in got if r["g"] == "g"), key=lambda r: r["n"])] == [None, "Z", "a", "b", "b", "é"]
     assert sorted((r["g"], r["n"]) for r in got) == [("g", i) for i in range(1, 7)] + [("h", 1)]
+
+
+def test_a_vector_costs_its_entries(spark):
+    df = spark.range(5_000).select("id", F.concat(F.lit("v"), F.col("id")).alias("name"), F.lit("x").alias("one"))
+    out = sparse_one_hot(df, ["name", "one"], fit_category_codes(df, ["name", "one"]))
+    assert len(str(out.schema["features"].metadata)) < 100  # no name for each place
+    got = out.select("id", places_on(F.col("features")).alias("p")).collect()
+    first, *rest = sorted(([tuple(p) for p in r["p"]] for r in got), key=len)
+    assert first == [] and sorted(rest) == [[(i, 1.0)] for i in range(4_999)]
+
+
+def test_places_of_dense_and_sparse_vectors(spark):
+    rows = [(1, DenseVector([0.0, 2.0, 0.0, -1.0])), (2, SparseVector(9, [4, 7], [0.0, 3.0])), (3, DenseVector([])), (4, SparseVector(3, [], []))]
+    got = {r["id"]: [tuple(p) for p in r["p"]] for r in spark.createDataFrame(rows, ["id", "v"]).select("id", places_on(F.col("v")).alias("p")).collect()}
+    assert got == {1: [(1, 2.0), (3, -1.0)], 2: [(7, 3.0)], 3: [], 4: []}

@@ -1,6 +1,5 @@
 """Feature transform queries on customers, orders and parts."""
 
-from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
 from retenta.operators import neighbours as N
@@ -71,7 +70,7 @@ def sparse_one_hot(t):
     names = t.customer.select(F.col("c_custkey").alias("customer_id"), F.col("c_name").alias("name"))
     s = scored(t).select("customer_id", F.when(F.col("customer_id") % 7 != 0, F.col("segment")).alias("segment")).join(names, "customer_id")
     out = X.sparse_one_hot(s, ["segment", "name"], X.fit_category_codes(s, ["segment", "name"]))
-    return out.select("customer_id", F.posexplode(vector_to_array("features")).alias("place", "on")).where("on = 1").drop("on")
+    return out.select("customer_id", F.explode(X.places_on(F.col("features"))).alias("r")).select("customer_id", "r.place")
 
 
 @query("target_encoding", WITH + """, a AS (SELECT avg(label) m, var_pop(label) v FROM scored), g AS (SELECT segment, count(*) n, avg(label) gm, var_pop(label) gv FROM scored GROUP BY 1),
