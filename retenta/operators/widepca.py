@@ -77,17 +77,21 @@ def fit_wide_pca(entries: DataFrame, k: int, rows: int | None = None, extra: int
     counts rows without entries too (default: rows that occur).  k + extra
     random numbers per column, made from its name, span the start; each of `steps` rounds multiplies
     by the table and its transpose, orthonormal in between.  With k + extra at
-    or above the rank the variances are exact.  Variances divide by rows - 1.
+    or above the rank the variances are exact, and at the number of columns one round does.  A row's entries
+    lie in one file, so a task sums them before they are shuffled.  Variances divide by rows - 1.
     Each component's sign makes its loadings' sum positive.  A table of lower rank
     than k may give fewer components; an empty one has none.
     """
     spark = entries.sparkSession
     cells = settle(entries.where("row is not null and column is not null").select(
-        "row", "column", F.coalesce(F.col("value").cast("double"), F.lit(0.0)).alias("value")), "pca-entries")
+        "row", "column", F.coalesce(F.col("value").cast("double"), F.lit(0.0)).alias("value")).repartition("row"), "pca-entries")
     present = cells.select("row").distinct().count()
     n = max(rows or present, present)
     sums = settle(cells.groupBy("column").agg((F.sum("value") / F.lit(float(max(n, 1)))).alias("mean")), "pca-means")
-    size = min(k + extra, sums.count(), n)
+    columns = sums.count()
+    size = min(k + extra, columns, n)
+    if size == columns:  # the start spans the whole space: one more round only makes it orthonormal
+        steps = min(steps, 1)
     kind = entries.schema["column"].dataType.simpleString()
     if size == 0:
         return WidePca(spark.createDataFrame([], "component int, variance double"),

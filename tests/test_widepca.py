@@ -68,3 +68,13 @@ def test_urls_with_one_prefix_spread_over_all_tasks(spark):
     got = codes.agg(F.min("code"), F.max("code"), F.count_distinct("code"), F.count_if(F.col("value") == prefix + "10")).first()
     assert list(got) == [0, 999_999, 1_000_000, 1]
     assert codes.where(F.col("value") == prefix + "10").first()["code"] == 2
+
+
+def test_full_width_takes_two_rounds(spark, monkeypatch):
+    from retenta.operators import widepca
+
+    rounds = []
+    monkeypatch.setattr(widepca, "_whiten", lambda gram, own=widepca._whiten: rounds.append(len(gram)) or own(gram))
+    a = table(50, 8, 4)
+    got = [r["variance"] for r in fit_wide_pca(entries(spark, a), 8).components.orderBy("component").collect()]
+    assert rounds == [8, 8] and got == pytest.approx(np.sort(np.linalg.eigvalsh(np.cov(a.T)))[::-1].tolist(), rel=1e-9)
