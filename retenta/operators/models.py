@@ -207,16 +207,17 @@ class Calibrated:
         return out.select(*keep, (total / len(names)).alias("score"))
 
 
+def _fold_bases(est: Estimator, df: DataFrame, ident: str, label: str, folds: int, seed: int = 42) -> list[tuple[Model, DataFrame]]:
+    """Per fold: base model on the rest, and the scores it gives the fold."""
+    folded = settle(stratified_folds(df, ident, label, folds, seed), "folds")
+    bases = [est.fit(folded.where(F.col("fold") != k)) for k in range(folds)]
+    return [(base, score_with(base, folded.where(F.col("fold") == k), [label])) for k, base in enumerate(bases)]
+
+
 def calibrate(est: Estimator, df: DataFrame, ident: str, method: str = "isotonic", label: str = "label", folds: int = 3,
               seed: int = 42) -> Calibrated:
     """Per fold: base model on the rest, isotonic or sigmoid calibrator on the held-out scores."""
-    folded = settle(stratified_folds(df, ident, label, folds, seed), "folds")
-    pairs = []
-    for k in range(folds):
-        base = est.fit(folded.where(F.col("fold") != k))
-        held = score_with(base, folded.where(F.col("fold") == k), [label])
-        pairs.append((base, _calibrator(held, method, label)))
-    return Calibrated(pairs, method)
+    return Calibrated([(base, _calibrator(held, method, label)) for base, held in _fold_bases(est, df, ident, label, folds, seed)], method)
 
 
 def calibration_quality(scored: DataFrame, by: Sequence[str]) -> DataFrame:
@@ -226,10 +227,13 @@ def calibration_quality(scored: DataFrame, by: Sequence[str]) -> DataFrame:
 
 
 def compare_calibrations(est: Estimator, df: DataFrame, ident: str, label: str = "label", folds: int = 3) -> DataFrame:
-    """Uncalibrated, isotonic and sigmoid on the training rows, best Brier first."""
+    """Uncalibrated, isotonic and sigmoid on the training rows, best Brier first; both methods share the folds' base models."""
     keep = [ident, label]
+    bases = _fold_bases(est, df, ident, label, folds)
     parts = [score_with(est.fit(df), df, keep).withColumn("method", F.lit("uncalibrated"))]
-    parts += [calibrate(est, df, ident, m, label, folds).score(df, keep).withColumn("method", F.lit(m)) for m in ("isotonic", "sigmoid")]
+    for m in ("isotonic", "sigmoid"):
+        fitted = Calibrated([(base, _calibrator(held, m, label)) for base, held in bases], m)
+        parts.append(fitted.score(df, keep).withColumn("method", F.lit(m)))
     all_rows = parts[0].unionByName(parts[1]).unionByName(parts[2])
     return calibration_quality(settle(all_rows, "calibrations"), ["method"]).orderBy("brier_score", "method")
 
