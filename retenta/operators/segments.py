@@ -19,10 +19,13 @@ from retenta.session import settle
 
 
 def standardised(df: DataFrame, ident: str, cols: Sequence[str]) -> DataFrame:
-    """Id and median-filled, standardised columns as a vector, settled once for the many fits that follow."""
+    """Id and median-filled, standardised columns as a vector, settled once for the many fits that follow.
+
+    No more tasks than cores: each of a fit's many short jobs sends the driver a few kilobytes a task.
+    """
     ready = apply_numeric(df, fit_numeric(df, cols, winsor=False))
     vec = VectorAssembler(inputCols=list(cols), outputCol="features").transform(ready)
-    return settle(vec.select(ident, *cols, "features"), "standardised")
+    return settle(vec.select(ident, *cols, "features"), "standardised").coalesce(max(2, df.sparkSession.sparkContext.defaultParallelism))
 
 
 def fit_kmeans(vec: DataFrame, k: int, restarts: int = 10, seed: int = 42, parallelism: int = 4):

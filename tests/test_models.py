@@ -227,3 +227,32 @@ def test_isolation_forest_flags_the_far_points(spark):
     out = isolation_outliers(df, "id", ["x", "y"], trees=30)
     flagged = {r["id"] for r in out.where("is_outlier").collect()}
     assert {190 + i for i in range(10)} <= flagged and len(flagged) <= 20
+
+
+def test_calibration_methods_share_base_models(spark):
+    from retenta.operators import models
+
+    rows = [(i, float(i * 7919 % 13 > i % 9), float(i % 9)) for i in range(90)]
+    df = models.assemble(spark.createDataFrame(rows, "id long, label double, x double"), ["x"], ["id", "label"])
+
+    class Counting:
+        fits = 0
+
+        def fit(self, rows):
+            Counting.fits += 1
+            return models.logistic(90).fit(rows)
+
+    out = models.compare_calibrations(Counting(), df, "id").collect()
+    assert {r["method"] for r in out} == {"uncalibrated", "isotonic", "sigmoid"} and Counting.fits == 4
+
+
+def test_clustering_takes_no_more_tasks_than_cores(spark):
+    from retenta.operators import segments
+
+    df = spark.range(4000).select("id", (F.col("id") % 97).cast("double").alias("x"), F.rand(1).alias("y")).repartition(20)
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "2k")
+    try:
+        assert segments.standardised(df, "id", ["x", "y"]).rdd.getNumPartitions() <= spark.sparkContext.defaultParallelism
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
