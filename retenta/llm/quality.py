@@ -3,7 +3,9 @@
 Tokens are words and runs of other signs.  A text is the counts of its hashed
 1- and 2-grams, scaled to length one; a 2-gram of one word twice has a bucket
 of its own, as its words are seldom met again.  The score is a sparse dot
-product through the logistic function.
+product through the logistic function.  Every labelled row is learned from:
+each shard of them trains a regression in a task, and a weight is its mean over
+the shards that met its bucket.
 """
 
 from __future__ import annotations
@@ -17,13 +19,13 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from retenta.llm.common import remainder
+from retenta.llm.common import release, remainder
 from retenta.llm.samples import labelled
 
 BUCKETS = 1 << 18
-PER_CLASS = 3000    # training rows of each label, at most about
 EPOCHS = 3
 ALPHA, BETA, L1, L2 = 0.5, 1.0, 0.02, 0.1
+UNIT = 1 << 32      # of the whole numbers that weights are averaged in
 KEEP = 0.3
 MEMO = 1 << 19      # words whose hash a task remembers
 _TOKEN = re.compile(r"\w+|[^\w\s]+")
@@ -63,9 +65,9 @@ class Logistic:
         return float(1.0 / (1.0 + np.exp(-np.clip(self.bias + self.weights[place] @ value, -35, 35))))
 
 
-def train(rows: list[tuple[np.ndarray, np.ndarray]], labels: list[int], prior: float, buckets: int = BUCKETS,
-          epochs: int = EPOCHS, seed: int = 42) -> Logistic:
-    """FTRL-proximal over the rows in a seeded order; the bias is moved from the sample's share of label 1 to `prior`."""
+def train(rows: list[tuple[np.ndarray, np.ndarray]], labels: list[int], buckets: int = BUCKETS, epochs: int = EPOCHS,
+          seed: int = 42) -> tuple[Logistic, np.ndarray]:
+    """FTRL-proximal over the rows in a seeded order; also the buckets that a row had."""
     z, n, w = np.zeros(buckets), np.zeros(buckets), np.zeros(buckets)
     bz = bn = bias = 0.0
     rng = np.random.default_rng(seed)
@@ -83,16 +85,33 @@ def train(rows: list[tuple[np.ndarray, np.ndarray]], labels: list[int], prior: f
             bz += gb - (np.sqrt(bn + gb * gb) - np.sqrt(bn)) / ALPHA * bias
             bn += gb * gb
     w = np.where(np.abs(z) <= L1, 0.0, (np.sign(z) * L1 - z) / ((BETA + np.sqrt(n)) / ALPHA + L2))
-    share = sum(labels) / len(labels) if labels else 0.5
-    if 0 < share < 1 and 0 < prior < 1:
-        bias += np.log(prior / (1 - prior)) - np.log(share / (1 - share))
-    return Logistic(w.astype(np.float32), float(bias))
+    return Logistic(w, float(bias)), np.flatnonzero(n)
 
 
-def fit(docs: DataFrame, labels: DataFrame, column: str = "quality", per_class: int = PER_CLASS) -> Logistic:
-    texts, marks, prior = labelled(docs, labels, column, per_class)
+def _fit_shard(shard: pa.Table) -> pa.Table:
+    """A shard's model: (place, weight) for its buckets and, at place -1, the bias; weights in units of 1 / UNIT."""
+    shard = shard.sort_by("place")
     features = Features()
-    return train([features(t) for t in texts], marks, prior)
+    model, met = train([features(t.as_py()) for t in shard["text"]], shard["label"].to_pylist())
+    return pa.table({"place": pa.array(np.append(met, -1), pa.int64()),
+                     "weight": pa.array(np.rint(np.append(model.weights[met], model.bias) * UNIT).astype(np.int64))})
+
+
+def fit(docs: DataFrame, labels: DataFrame, column: str = "quality") -> Logistic:
+    """Mean of the shards' regressions; the bias is moved from the training rows' share of label 1 to that of all labelled ids."""
+    rows, _, prior = labelled(docs, labels, column)
+    models = rows.select("shard", "place", "label", "text").groupBy("shard").applyInArrow(_fit_shard, "place long, weight long")
+    # sums of whole numbers: the same in any order.  At most BUCKETS + 1 rows come back
+    mean = models.groupBy("place").agg((F.sum("weight") / F.count(F.lit(1)) / UNIT).alias("weight")).toArrow()
+    share = rows.agg(F.avg("label")).first()[0]
+    release(rows)
+    place, weight = mean["place"].to_numpy(), mean["weight"].to_numpy()
+    weights = np.zeros(BUCKETS, np.float32)
+    weights[place[place >= 0]] = weight[place >= 0]
+    bias = float(weight[place < 0].sum())
+    if share is not None and 0 < share < 1 and 0 < prior < 1:
+        bias += np.log(prior / (1 - prior)) - np.log(share / (1 - share))
+    return Logistic(weights, float(bias))
 
 
 def score(docs: DataFrame, model: Logistic, keep: float = KEEP) -> DataFrame:

@@ -1,29 +1,37 @@
-"""Bounded samples of labelled documents, for models that are fitted in the driver."""
+"""All labelled documents, dealt to shards; tasks fit a model on each shard, and the models are averaged."""
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, functions as F
 
-from retenta.llm.common import remainder, sample_share, sampled
+from retenta.llm.common import chunks, release, remainder, table
 
-CHARS = 40_000_000  # characters of all sampled texts, about
+ROWS = 5000         # rows of a shard, about
+CHARS = 16_000_000  # characters of a shard, about, unless one text has more
 
 
-def labelled(docs: DataFrame, labels: DataFrame, column: str, per_class: int, seed: int = 42) -> tuple[list[str], list[int], float]:
-    """Texts, labels and the share of label 1 among all labelled rows that may be learned from.
+def labelled(docs: DataFrame, labels: DataFrame, column: str, encode: Callable[[DataFrame], DataFrame] | None = None,
+             seed: int = 42) -> tuple[DataFrame, int, float]:
+    """Every row that may be learned from, the number of shards, and the share of label 1 among all labelled ids that may be learned from.
 
     Rows whose crc32(doc_id as text) modulo 5 is 0 are left out, and so are
-    null ids and labels.  About `per_class` rows of each label are drawn by a
-    hash of the id, fewer if their texts would exceed CHARS characters.  A
-    repeated id counts once, with its largest label.
+    null ids, labels and texts.  A label's repeated id counts once, with its
+    largest label; a document's repeated rows stay.  The rows (doc_id, shard,
+    place, label, text), or what `encode` makes of them, are written and read
+    back; `shard` and `place` (the order in a shard) follow from id and text.
     """
     usable = labels.where(F.col(column).isNotNull() & (remainder(F.col("doc_id"), 5) != 0))
-    one = usable.groupBy("doc_id").agg(F.max((F.col(column) > 0).cast("int")).alias("label"))
+    one = table(usable.groupBy("doc_id").agg(F.max((F.col(column) > 0).cast("int")).alias("label")), "labels")
     have = {r["label"]: r["n"] for r in one.groupBy("label").agg(F.count(F.lit(1)).alias("n")).collect()}
-    share = F.when(F.col("label") == 1, sample_share(have.get(1, 0), per_class)).otherwise(sample_share(have.get(0, 0), per_class))
-    drawn = one.where(sampled(F.col("doc_id"), share, seed))
-    # at most about 2 * per_class ids: the documents are scanned in place
-    met = docs.select("doc_id", "text").where(F.col("text").isNotNull()).join(F.broadcast(drawn), "doc_id")
-    chars = met.agg(F.sum(F.length("text").cast("long"))).first()[0] or 0
-    rows = met.where(sampled(F.col("doc_id"), sample_share(chars, CHARS), seed + 1)).orderBy(F.xxhash64("doc_id"), "text").collect()
-    return [r["text"] for r in rows], [r["label"] for r in rows], have.get(1, 0) / max(1, sum(have.values()))
+    mine = docs.select("doc_id", "text").where(F.col("text").isNotNull() & (remainder(F.col("doc_id"), 5) != 0))
+    sizes = mine.select("doc_id", F.length("text").cast("long").alias("chars")).join(one, "doc_id")
+    size = sizes.agg(F.count(F.lit(1)).alias("rows"), F.coalesce(F.sum("chars"), F.lit(0)).alias("chars")).first()
+    shards = max(chunks(size["rows"], ROWS), chunks(size["chars"], CHARS))
+    rows = mine.join(one, "doc_id").select(
+        "doc_id", F.pmod(F.xxhash64("doc_id", "text", F.lit(seed + 1)), F.lit(shards)).cast("int").alias("shard"),
+        F.xxhash64("doc_id", "text", F.lit(seed)).alias("place"), "label", "text")
+    met = table(encode(rows) if encode else rows, f"{column}-rows")
+    release(one)
+    return met, shards, have.get(1, 0) / max(1, sum(have.values()))

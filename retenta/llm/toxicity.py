@@ -1,4 +1,8 @@
-"""Toxicity by a small convolutional text classifier, trained in numpy.
+"""Toxicity by a small convolutional text classifier, trained in numpy by tasks.
+
+Every labelled row is learned from: four fifths train, dealt to shards.  In
+each round every shard goes on from the common network by itself, and the
+changes are averaged (an embedding's over the shards that changed it).
 
 Words are hashed to buckets, and buckets met in several training texts have
 embeddings (all others share a zero row, so a long text's rare words cannot add
@@ -6,8 +10,8 @@ up to noise).  Filters of widths 1 to 3 slide over a text, the largest answer of
 layer with a logistic function gives the score.  Only the words under a
 filter's largest answer carry a gradient, so a training step is cheap however
 long the text.  One threshold per language, of the language filters' own
-prediction from the text, is calibrated on rows set aside from training; the
-score is shifted so that each threshold lies at 0.5.
+prediction from the text, is calibrated on the fifth of the labelled rows set
+aside from training; the score is shifted so that each threshold lies at 0.5.
 """
 
 from __future__ import annotations
@@ -21,21 +25,23 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from retenta.llm import langid
-from retenta.llm.common import remainder
+from retenta.llm.common import release, remainder, table
 from retenta.llm.samples import labelled
+from retenta.plans.order import running_totals
 
 BUCKETS = 1 << 22
-LEAST_DOCS = 5      # training texts that a bucket must be met in to get an embedding
+LEAST_DOCS = 5      # training texts that a bucket must be met in to get an embedding,
+LEAST_SHARE = 1e-3  # and their share of all training texts: bounds the network, whatever the table
 DIM = 16
 FILTERS = 12
 WIDTHS = (1, 2, 3)
-PER_CLASS = 3000    # training rows of each label, at most about
-EPOCHS = 6
-LEAST_STEPS = 1000  # training steps at least
+ROUNDS = 6
+LEAST_STEPS = 1000  # training steps of a shard at least
+UNIT = float(1 << 32)  # of the whole numbers that changes are averaged in
 START = 0.002       # spread of the first embeddings: words that teach nothing stay near zero
 BATCH = 16          # texts per training step
 RATE = 0.05
-ASIDE = 5           # every fifth sampled row calibrates thresholds
+ASIDE = 5           # every fifth labelled id calibrates thresholds
 LEAST_ROWS = 20     # rows of each label that a language needs for a threshold of its own
 CHUNK = 100_000     # words scored at once, unless one text has more
 MEMO = 1 << 19
@@ -116,20 +122,36 @@ def _pool(texts: list[np.ndarray], rows: np.ndarray, begin: np.ndarray, projecte
     return pooled, answers
 
 
-def train(texts: list[np.ndarray], labels: list[int], epochs: int = EPOCHS, seed: int = 42) -> Network:
-    """Adagrad on the logistic loss; texts are bucket numbers."""
-    met, docs = np.unique(np.concatenate([np.unique(t) for t in texts] or [np.empty(0, np.int32)]), return_counts=True)
-    net = Network.start(met[docs >= LEAST_DOCS].tolist(), seed)
-    texts = [np.array([net.rows.get(b, 0) for b in t.tolist()], np.int32) for t in texts]
+class Squares:
+    """Sums of squared gradients: one number a bucket, and one for each other parameter."""
+
+    def __init__(self, net: Network) -> None:
+        self.table = np.full(len(net.table), 1e-2, np.float32)
+        self.dense = np.full(_dense(net).shape, 1e-2, np.float32)
+
+
+def _dense(net: Network) -> np.ndarray:
+    return np.concatenate([*(f.ravel() for f in net.filters), net.biases.ravel(), net.weights, [net.bias]]).astype(np.float32)
+
+
+def _set_dense(net: Network, values: np.ndarray) -> None:
+    at = 0
+    for k, f in enumerate(net.filters):
+        net.filters[k] = values[at:at + f.size].reshape(f.shape).astype(np.float32)
+        at += f.size
+    net.biases = values[at:at + net.biases.size].reshape(net.biases.shape).astype(np.float32)
+    at += net.biases.size
+    net.weights = values[at:at + net.weights.size].astype(np.float32)
+    net.bias = float(values[-1])
+
+
+def train(net: Network, squares: Squares, texts: list[np.ndarray], labels: list[int], share: float, passes: int, seed: int = 42) -> None:
+    """Adagrad on the logistic loss from the given state, changed in place; texts are embedding rows, `share` is that of label 1."""
     labels = np.asarray(labels, np.float32)
-    g_table = np.full(len(net.table), 1e-2, np.float32)
-    g_filters = [np.full(f.shape, 1e-2, np.float32) for f in net.filters]
-    g_bias, g_weights, g_b = np.full(net.biases.shape, 1e-2, np.float32), np.full(net.weights.shape, 1e-2, np.float32), 1e-2
     rng = np.random.default_rng(seed)
     steps = -(-len(texts) // BATCH)
-    share = labels.mean() if len(labels) else 0.5
     even = np.where(labels == 1, 0.5 / max(share, 1e-6), 0.5 / max(1 - share, 1e-6)).astype(np.float32)
-    for _ in range(max(epochs, -(-LEAST_STEPS // max(1, steps)))):
+    for _ in range(passes):
         for rows in np.array_split(rng.permutation(len(texts)), max(1, steps)):
             batch = [texts[i] for i in rows]
             if not batch:
@@ -145,70 +167,193 @@ def train(texts: list[np.ndarray], labels: list[int], epochs: int = EPOCHS, seed
             g_w = hidden.T @ err
             down = (err[:, None] * net.weights) * (act > 0)
             g_e = np.zeros_like(e)
+            grads = []
             for k, w in enumerate(WIDTHS):
                 part = down[:, k * FILTERS:(k + 1) * FILTERS]
                 text, filt = np.nonzero(part)
+                grad = np.zeros_like(net.filters[k])
+                grads.append(grad)
                 if not len(text):
                     continue
                 d = part[text, filt]
                 where = _places(answers[k], batch, begin)[text, filt]
-                grad = np.zeros_like(net.filters[k])
                 for j in range(w):
                     row = back[where + j]
                     real = ids[where + j] != 0
                     np.add.at(grad[j].T, filt, d[:, None] * e[row])
                     np.add.at(g_e, row[real], d[real, None] * net.filters[k][j].T[filt[real]])
-                g_filters[k] += grad ** 2
-                net.filters[k] -= RATE * grad / np.sqrt(g_filters[k])
-            g_b2 = down.sum(axis=0).reshape(net.biases.shape)
-            g_bias += g_b2 ** 2
-            net.biases -= RATE * g_b2 / np.sqrt(g_bias)
-            g_weights += g_w ** 2
-            net.weights -= RATE * g_w / np.sqrt(g_weights)
-            g_b += float(err.sum()) ** 2
-            net.bias -= RATE * float(err.sum()) / np.sqrt(g_b)
+            g = np.concatenate([*(x.ravel() for x in grads), down.sum(axis=0), g_w, [err.sum()]])
+            squares.dense += g ** 2
+            _set_dense(net, _dense(net) - RATE * g / np.sqrt(squares.dense))
             size = (g_e ** 2).mean(axis=1)
             moved = size > 0
-            g_table[used[moved]] += size[moved]
-            net.table[used[moved]] -= RATE * g_e[moved] / np.sqrt(g_table[used[moved], None])
-    return net
+            squares.table[used[moved]] += size[moved]
+            net.table[used[moved]] -= RATE * g_e[moved] / np.sqrt(squares.table[used[moved], None])
 
 
 def _places(answers: np.ndarray, texts: list[np.ndarray], begin: np.ndarray) -> np.ndarray:
     return np.stack([b + answers[b:b + max(1, len(t))].argmax(axis=0) for b, t in zip(begin, texts)])
 
 
-def threshold(logits: np.ndarray, labels: np.ndarray, prior: float) -> float:
-    """Cut with the fewest errors when a share `prior` of texts has label 1, in the middle of the gap around it."""
-    order = np.argsort(-logits, kind="stable")
-    s, y = logits[order], labels[order]
-    w1, w0 = prior / max(1, y.sum()), (1 - prior) / max(1, (1 - y).sum())
-    errors = np.concatenate([[w1 * y.sum()], w1 * y.sum() - np.cumsum(w1 * y) + np.cumsum(w0 * (1 - y))])
-    errors[1:-1][s[1:] == s[:-1]] = np.inf
-    k = int(errors.argmin())
-    high = s[k - 1] if k else s[0] + 2
-    low = s[k] if k < len(s) else s[-1] - 2
-    return float((high + low) / 2)
-
-
-def fit(docs: DataFrame, labels: DataFrame, languages: langid.LanguageFilters, column: str = "toxic", per_class: int = PER_CLASS) -> Network:
-    texts, marks, prior = labelled(docs, labels, column, per_class)
-    aside = np.arange(len(texts)) % ASIDE == 0
-    words = Words()
-    net = train([words(t) for t, a in zip(texts, aside) if not a], [m for m, a in zip(marks, aside) if not a])
-    words = Words(net.rows)
-    rows = np.flatnonzero(aside)
-    if not len(rows):
-        return net
-    projected = net.project()
-    logits = np.concatenate([net.logits([words(texts[i])], projected) for i in rows])
-    y = np.array([marks[i] for i in rows])
-    spoken = np.array([languages.predict(texts[i])[0] for i in rows])
-    net.thresholds = {"": threshold(logits, y, prior)}
-    for lang in np.unique(spoken):
-        own = spoken == lang
-        if y[own].sum() >= LEAST_ROWS and (1 - y[own]).sum() >= LEAST_ROWS:
-            net.thresholds[str(lang)] = threshold(logits[own], y[own], prior)
+def thresholds(scored: DataFrame, prior: float) -> dict[str, float]:
+    """Cuts of (lang, logit, label), of all rows ("") and of each language with LEAST_ROWS of each label.
+
+    A cut makes the fewest errors when a share `prior` of texts has label 1, and
+    lies in the middle of the gap around it.  The driver gets a few numbers a language.
+    """
+    both = scored.withColumn("lang", F.explode(F.array(F.lit(""), "lang")))
+    ones = F.sum(F.col("label").cast("long"))
+    group = both.groupBy("lang").agg(ones.alias("p"), (F.count(F.lit(1)) - ones).alias("q"), F.max("logit").alias("top"))
+    groups = {r["lang"]: r for r in group.collect() if not r["lang"] or min(r["p"], r["q"]) >= LEAST_ROWS}
+    if not groups:
+        return {}
+    kept = both.where(F.col("lang").isin(*groups))
+    runs = kept.groupBy("lang", "logit").agg(ones.alias("ones"), (F.count(F.lit(1)) - ones).alias("zeros"))
+    upto = running_totals(runs, "logit", {"caught": F.col("ones"), "wrong": F.col("zeros")}, by=["lang"], descending=True)
+    totals = scored.sparkSession.createDataFrame(
+        [(g, r["p"], prior / max(1, r["p"]), (1 - prior) / max(1, r["q"])) for g, r in groups.items()], "lang string, p long, w1 double, w0 double")
+    errors = upto.join(F.broadcast(totals), "lang").withColumn("errors", F.col("w1") * (F.col("p") - F.col("caught")) + F.col("w0") * F.col("wrong"))
+    best = errors.groupBy("lang").agg(F.min(F.struct("errors", -F.col("logit"))).alias("b")).select("lang", "b.errors", (-F.col("b.col2")).alias("high"))
+    best = {r["lang"]: r for r in best.collect()}
+    highs = scored.sparkSession.createDataFrame([(g, r["high"]) for g, r in best.items()], "lang string, high double")
+    below = {r["lang"]: r["low"] for r in runs.join(F.broadcast(highs), "lang").where(F.col("logit") < F.col("high")).groupBy("lang").agg(
+        F.max("logit").alias("low")).collect()}
+    cuts = {}
+    for g, r in groups.items():
+        if r["p"] * (prior / max(1, r["p"])) <= best[g]["errors"]:
+            cuts[g] = r["top"] + 1
+        else:
+            cuts[g] = (best[g]["high"] + below.get(g, best[g]["high"] - 2)) / 2
+    return cuts
+
+
+def _encode(languages: langid.LanguageFilters):
+    """Rows (shard, place, label, lang, words): hashed words, and the predicted language of the rows set aside (null: train)."""
+    schema = pa.schema([("shard", pa.int32()), ("place", pa.int64()), ("label", pa.int32()), ("lang", pa.string()), ("words", pa.list_(pa.int32()))])
+
+    def encode(rows: DataFrame) -> DataFrame:
+        shared = rows.sparkSession.sparkContext.broadcast(languages)
+
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            words = Words()
+            for b in batches:
+                texts = b.column("text").to_pylist()
+                found = [words(t) for t in texts]
+                ends = np.cumsum([0, *(len(f) for f in found)])
+                lang = [shared.value.predict(t)[0] if a else None for t, a in zip(texts, b.column("aside").to_pylist())]
+                yield pa.RecordBatch.from_arrays(
+                    [b.column("shard"), b.column("place"), b.column("label"), pa.array(lang, pa.string()),
+                     pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.concatenate([np.empty(0, np.int32), *found]), pa.int32()))],
+                    schema=schema)
+
+        aside = F.pmod(F.xxhash64("doc_id", F.lit(7)), F.lit(ASIDE)) == 0
+        return rows.select("shard", "place", "label", aside.alias("aside"), "text").mapInArrow(
+            run, "shard int, place long, label int, lang string, words array<int>")
+
+    return encode
+
+
+def _texts(column: pa.Array) -> list[np.ndarray]:
+    values, ends = column.values.to_numpy(), column.offsets.to_numpy()
+    return [values[i:j] for i, j in zip(ends[:-1], ends[1:])]
+
+
+def _vocabulary(rows: DataFrame, least: float) -> np.ndarray:
+    """Buckets met in at least `least` texts, ascending."""
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            own, n = np.unique(np.concatenate([np.empty(0, np.int32), *(np.unique(t) for t in _texts(b.column(0)))]), return_counts=True)
+            yield pa.RecordBatch.from_arrays([pa.array(own, pa.int32()), pa.array(n, pa.int64())], ["bucket", "n"])
+
+    met = rows.select("words").mapInArrow(count, "bucket int, n long").groupBy("bucket").agg(F.sum("n").alias("n"))
+    return np.sort(met.where(F.col("n") >= least).select("bucket").toArrow()["bucket"].to_numpy())
+
+
+def _rows_of(buckets: np.ndarray, texts: list[np.ndarray]) -> list[np.ndarray]:
+    """Embedding rows of hashed words."""
+    lookup = np.zeros(BUCKETS, np.int32)
+    lookup[buckets] = np.arange(1, len(buckets) + 1)
+    return [lookup[t] for t in texts]
+
+
+def _round(rows: DataFrame, net: Network, squares: Squares, buckets: np.ndarray, share: float, passes: int, seed: int) -> None:
+    """One round: every shard trains from the common state, whose parameters then move by the mean change.
+
+    A row of changes is an embedding's, with its sum of squares last, or 17
+    of the other parameters (negative numbers).  Changes are whole numbers, so their
+    sums are the same in any order; the driver gets one network.
+    """
+    shared = rows.sparkSession.sparkContext.broadcast((net, squares, buckets))
+    wide = DIM + 1
+
+    def change(texts: list[np.ndarray], labels: list[int], shard: int) -> pa.RecordBatch:
+        start, before, places = shared.value
+        own = Network({}, start.table.copy(), [f.copy() for f in start.filters], start.biases.copy(), start.weights.copy(), start.bias)
+        sums = Squares(own)
+        sums.table, sums.dense = before.table.copy(), before.dense.copy()
+        train(own, sums, _rows_of(places, texts), labels, share, passes, seed + 1000 * shard)
+        moved = np.flatnonzero(sums.table != before.table)
+        lean = np.column_stack([own.table[moved] - start.table[moved], sums.table[moved] - before.table[moved]])
+        dense = np.concatenate([_dense(own) - _dense(start), sums.dense - before.dense])
+        dense = np.resize(np.append(dense, np.zeros(-len(dense) % wide)), (-(-len(dense) // wide), wide))
+        numbers = np.concatenate([moved, -1 - np.arange(len(dense))])
+        values = np.rint(np.concatenate([lean, dense]) * UNIT).astype(np.int64)
+        return pa.RecordBatch.from_arrays([pa.array(numbers, pa.int32()), *(pa.array(v) for v in values.T)], ["row", *(f"v{i}" for i in range(wide))])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        at, texts, labels = None, [], []
+        for b in batches:
+            for shard, label, text in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), _texts(b.column(2))):
+                if shard != at and texts:
+                    yield change(texts, labels, at)
+                    texts, labels = [], []
+                at = shard
+                texts.append(text)
+                labels.append(label)
+        if texts:
+            yield change(texts, labels, at)
+
+    changes = rows.select("shard", "label", "words").mapInArrow(run, "row int, " + ", ".join(f"v{i} long" for i in range(wide)))
+    mean = changes.groupBy("row").agg(*[(F.sum(f"v{i}") / F.count(F.lit(1))).alias(f"v{i}") for i in range(wide)]).toArrow()
+    shared.destroy()
+    number, values = mean["row"].to_numpy(), np.column_stack([mean[f"v{i}"].to_numpy() for i in range(wide)]) / UNIT
+    lean = number >= 0
+    net.table[number[lean]] += values[lean, :DIM].astype(np.float32)
+    squares.table[number[lean]] += values[lean, DIM].astype(np.float32)
+    dense = values[~lean][np.argsort(-number[~lean])].ravel()
+    if len(dense):
+        size = len(squares.dense)
+        _set_dense(net, _dense(net) + dense[:size])
+        squares.dense += dense[size:2 * size].astype(np.float32)
+
+
+def fit(docs: DataFrame, labels: DataFrame, languages: langid.LanguageFilters, column: str = "toxic") -> Network:
+    met, shards, prior = labelled(docs, labels, column, _encode(languages))
+    # one file a shard, which every round reads without a shuffle
+    rows = table(met.repartitionById(shards, F.col("shard")).sortWithinPartitions("shard", "place"), "toxicity-shards")
+    release(met)
+    learn, aside = rows.where(F.col("lang").isNull()), rows.where(F.col("lang").isNotNull())
+    size = learn.agg(F.count(F.lit(1)).alias("n"), F.sum("label").alias("ones")).first()
+    buckets = _vocabulary(learn, max(LEAST_DOCS, LEAST_SHARE * size["n"]))
+    net = Network.start(buckets.tolist())
+    squares = Squares(net)
+    if size["n"]:
+        steps = -(-size["n"] // (shards * BATCH))
+        for r in range(ROUNDS):
+            _round(learn, net, squares, buckets, size["ones"] / size["n"], max(1, -(-LEAST_STEPS // (steps * ROUNDS))), 42 + r)
+    shared = docs.sparkSession.sparkContext.broadcast((net, buckets))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        model, places = shared.value
+        projected = model.project()
+        for b in batches:
+            found = [model.logits([t], projected)[0] for t in _rows_of(places, _texts(b.column(2)))]
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(found, pa.float64()), b.column(1)], ["lang", "logit", "label"])
+
+    scored = table(aside.select("lang", "label", "words").mapInArrow(run, "lang string, logit double, label int"), "logits")
+    net.thresholds = thresholds(scored, prior)
+    release(rows, scored)
     return net
 
 
