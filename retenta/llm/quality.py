@@ -19,8 +19,8 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from retenta.llm.common import release, remainder
-from retenta.llm.samples import labelled
+from retenta.llm.common import remainder
+from retenta.llm.samples import deal
 
 BUCKETS = 1 << 18
 EPOCHS = 3
@@ -88,23 +88,37 @@ def train(rows: list[tuple[np.ndarray, np.ndarray]], labels: list[int], buckets:
     return Logistic(w, float(bias)), np.flatnonzero(n)
 
 
-def _fit_shard(shard: pa.Table) -> pa.Table:
-    """A shard's model: (place, weight) for its buckets and, at place -1, the bias; weights in units of 1 / UNIT."""
-    shard = shard.sort_by("place")
-    features = Features()
-    model, met = train([features(t.as_py()) for t in shard["text"]], shard["label"].to_pylist())
-    return pa.table({"place": pa.array(np.append(met, -1), pa.int64()),
-                     "weight": pa.array(np.rint(np.append(model.weights[met], model.bias) * UNIT).astype(np.int64))})
+def _fit_shards(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Each shard's model: (place, weight) for its buckets and, at place -1, the bias; weights in units of 1 / UNIT.
+
+    Rows are (shard, label, text), a shard's rows one after another; only their features are kept.
+    """
+    def fitted() -> pa.RecordBatch:
+        model, met = train(rows, labels)
+        return pa.RecordBatch.from_arrays([pa.array(np.append(met, -1), pa.int64()),
+                                           pa.array(np.rint(np.append(model.weights[met], model.bias) * UNIT).astype(np.int64))], ["place", "weight"])
+
+    features, at, rows, labels = Features(), None, [], []
+    for b in batches:
+        for shard, label, text in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), b.column(2)):
+            if shard != at and rows:
+                yield fitted()
+                rows, labels = [], []
+            at = shard
+            rows.append(features(text.as_py()))
+            labels.append(label)
+    if rows:
+        yield fitted()
 
 
 def fit(docs: DataFrame, labels: DataFrame, column: str = "quality") -> Logistic:
     """Mean of the shards' regressions; the bias is moved from the training rows' share of label 1 to that of all labelled ids."""
-    rows, _, prior = labelled(docs, labels, column)
-    models = rows.select("shard", "place", "label", "text").groupBy("shard").applyInArrow(_fit_shard, "place long, weight long")
+    dealt = deal(docs, labels, column)
+    models = dealt.rows.select("shard", "label", "text").mapInArrow(_fit_shards, "place long, weight long")
     # sums of whole numbers: the same in any order.  At most BUCKETS + 1 rows come back
     mean = models.groupBy("place").agg((F.sum("weight") / F.count(F.lit(1)) / UNIT).alias("weight")).toArrow()
-    share = rows.agg(F.avg("label")).first()[0]
-    release(rows)
+    dealt.release()
+    prior, share = dealt.prior, dealt.share
     place, weight = mean["place"].to_numpy(), mean["weight"].to_numpy()
     weights = np.zeros(BUCKETS, np.float32)
     weights[place[place >= 0]] = weight[place >= 0]

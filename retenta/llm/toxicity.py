@@ -228,8 +228,7 @@ def thresholds(scored: DataFrame, prior: float) -> dict[str, float]:
 
 
 def _encode(languages: langid.LanguageFilters):
-    """Rows (shard, place, label, lang, words): hashed words, and the predicted language of the rows set aside (null: train)."""
-    schema = pa.schema([("shard", pa.int32()), ("place", pa.int64()), ("label", pa.int32()), ("lang", pa.string()), ("words", pa.list_(pa.int32()))])
+    """Rows (doc_id, shard, place, lang, words): hashed words, and the predicted language of the rows set aside (null: train)."""
 
     def encode(rows: DataFrame) -> DataFrame:
         shared = rows.sparkSession.sparkContext.broadcast(languages)
@@ -242,13 +241,13 @@ def _encode(languages: langid.LanguageFilters):
                 ends = np.cumsum([0, *(len(f) for f in found)])
                 lang = [shared.value.predict(t)[0] if a else None for t, a in zip(texts, b.column("aside").to_pylist())]
                 yield pa.RecordBatch.from_arrays(
-                    [b.column("shard"), b.column("place"), b.column("label"), pa.array(lang, pa.string()),
+                    [b.column("doc_id"), b.column("shard"), b.column("place"), pa.array(lang, pa.string()),
                      pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.concatenate([np.empty(0, np.int32), *found]), pa.int32()))],
-                    schema=schema)
+                    ["doc_id", "shard", "place", "lang", "words"])
 
         aside = F.pmod(F.xxhash64("doc_id", F.lit(7)), F.lit(ASIDE)) == 0
-        return rows.select("shard", "place", "label", aside.alias("aside"), "text").mapInArrow(
-            run, "shard int, place long, label int, lang string, words array<int>")
+        return rows.select("doc_id", "shard", "place", aside.alias("aside"), "text").mapInArrow(
+            run, f"doc_id {rows.schema['doc_id'].dataType.simpleString()}, shard int, place long, lang string, words array<int>")
 
     return encode
 
@@ -329,10 +328,8 @@ def _round(rows: DataFrame, net: Network, squares: Squares, buckets: np.ndarray,
 
 
 def fit(docs: DataFrame, labels: DataFrame, languages: langid.LanguageFilters, column: str = "toxic") -> Network:
-    met, shards, prior = labelled(docs, labels, column, _encode(languages))
     # one file a shard, which every round reads without a shuffle
-    rows = table(met.repartitionById(shards, F.col("shard")).sortWithinPartitions("shard", "place"), "toxicity-shards")
-    release(met)
+    rows, shards, prior = labelled(docs, labels, column, _encode(languages))
     learn, aside = rows.where(F.col("lang").isNull()), rows.where(F.col("lang").isNotNull())
     size = learn.agg(F.count(F.lit(1)).alias("n"), F.sum("label").alias("ones")).first()
     buckets = _vocabulary(learn, max(LEAST_DOCS, LEAST_SHARE * size["n"]))

@@ -66,3 +66,27 @@ def test_thresholds_make_the_fewest_errors(spark):
         assert cut not in values
     assert toxicity.thresholds(spark.createDataFrame([("en", 1.5, 1)], "lang string, logit double, label int"), 1.0) == {"": 0.5}
     assert toxicity.thresholds(spark.createDataFrame([], "lang string, logit double, label int"), 0.0).get("", 0.0) == 0.0
+
+
+def test_texts_are_shuffled_once_and_only_if_labelled(spark, monkeypatch):
+    monkeypatch.setattr(samples, "ROWS", 500)
+    n = 12_000  # labelled ids on several pages of the bitmap
+    docs = spark.range(2 * n).select(F.col("id").alias("doc_id"), F.concat(F.lit("text "), F.col("id")).alias("text"))
+    labels = spark.range(n).select((2 * F.col("id")).cast("int").alias("doc_id"), F.lit(1).alias("toxic"))
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)  # labels too large for a broadcast
+    try:
+        dealt = samples.deal(docs, labels, "toxic")
+        want = [i for i in range(0, 2 * n, 2) if _learnable(i)]
+        plan = dealt.rows._jdf.queryExecution().executedPlan().toString()
+        got = dealt.rows.collect()
+        bitmap, passing = samples._bitmap(labels, n, 42)
+        passed = {r["doc_id"] for r in passing(docs).collect()}
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert "SortMergeJoin" not in plan and "shufflepartitionidpassthrough" in plan
+    assert sum("Exchange" in line and "Broadcast" not in line for line in plan.splitlines()) == 2  # the texts, and the labels' rows alone
+    assert sorted(r["doc_id"] for r in got) == want and {r["text"] for r in got} == {f"text {i}" for i in want}
+    assert dealt.shards > 1 and bitmap.count() > 1
+    assert passed >= set(range(0, 2 * n, 2)) and len(passed) < 1.2 * n
+    dealt.release()
