@@ -6,13 +6,16 @@ import itertools
 import random
 import uuid
 from collections.abc import Sequence
+from multiprocessing.pool import ThreadPool
 
+import numpy as np
+from pyspark import inheritable_thread_target
 from pyspark.ml import Estimator, Model
 from pyspark.ml.classification import GBTClassifier, LogisticRegression, RandomForestClassifier
 from pyspark.ml.evaluation import BinaryClassificationEvaluator
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.ml.tuning import CrossValidator
+from pyspark.ml.tuning import CrossValidatorModel
 from pyspark.sql import Column, DataFrame, SparkSession, Window as W, functions as F
 from pyspark.sql.types import StructType
 
@@ -86,14 +89,32 @@ def boosted(label: str = "label", weighted: bool = True, **params) -> GBTClassif
 
 def random_search(est: Estimator, grid: dict[str, Sequence], df: DataFrame, ident: str, label: str = "label",
                   draws: int | None = None, folds: int = 5, seed: int = 42, parallelism: int = 4):
-    """Best model by ROC-AUC over random grid points (default: as many draws as parameters), k stratified folds."""
+    """Best model by ROC-AUC over random grid points (default: as many draws as parameters), k stratified folds.
+
+    The folds are kept while the fits run, since each fit reads them several times.  Trees are drawn by
+    partition, so the best point is fitted on the rows as they come when they are not kept.
+    """
     points = list(itertools.product(*grid.values()))
     chosen = random.Random(seed).sample(points, min(len(points), draws or min(50, len(grid))))
     maps = [{est.getParam(name): v for name, v in zip(grid, p)} for p in chosen]
     folded = stratified_folds(df, ident, label, folds, seed)
-    cv = CrossValidator(estimator=est, estimatorParamMaps=maps, numFolds=folds, foldCol="fold", parallelism=parallelism, seed=seed,
-                        evaluator=BinaryClassificationEvaluator(labelCol=label, rawPredictionCol="rawPrediction", numBins=0))
-    return cv.fit(folded)
+    ranked = BinaryClassificationEvaluator(labelCol=label, rawPredictionCol="rawPrediction", numBins=0)
+    found = []
+    folded.persist()
+    try:
+        for k in range(folds):
+            learn, held = folded.where(F.col("fold") != k).persist(), folded.where(F.col("fold") == k).persist()
+            if learn.isEmpty() or held.isEmpty():
+                raise ValueError(f"fold {k} has no rows, or all of them")
+            one = inheritable_thread_target(df.sparkSession)(lambda m: ranked.evaluate(est.fit(learn, m).transform(held, m)))
+            with ThreadPool(min(parallelism, len(maps))) as pool:
+                found.append(pool.map(one, maps))
+            learn.unpersist()
+            held.unpersist()
+    finally:
+        folded.unpersist()
+    mean = np.mean(found, axis=0)
+    return CrossValidatorModel(est.fit(folded, maps[int(mean.argmax())]), mean.tolist(), [], np.std(found, axis=0).tolist())
 
 
 def score_with(model: Model, df: DataFrame, keep: Sequence[str]) -> DataFrame:

@@ -48,6 +48,20 @@ def settle(df, name: str):
     return spark.read.parquet(path)
 
 
+_COALESCE = "spark.sql.optimizer.canChangeCachedPlanOutputPartitioning"
+
+
+def keep(df):
+    """df persisted in the partitions that adaptive execution gives it when it is not; `unpersist` ends it."""
+    conf = df.sparkSession.conf
+    before = conf.get(_COALESCE)
+    conf.set(_COALESCE, "true")
+    try:
+        return df.persist()
+    finally:
+        conf.set(_COALESCE, before)
+
+
 def release(df) -> None:
     """Delete a table that `settle` wrote, once nothing reads it any more."""
     spark = df.sparkSession

@@ -9,7 +9,7 @@ from retenta.operators import models as M
 from retenta.operators import transform as X
 from retenta.plans.isotonic import apply_isotonic, fit_isotonic
 from retenta.plans.scoretable import metric_set
-from retenta.session import settle, work_folder
+from retenta.session import keep, settle, work_folder
 from workload.base import SCORED_SQL, TWO_MODELS_SQL, scored, two_models
 from workload.business import METRICS_SQL
 from workload.registry import query
@@ -20,9 +20,11 @@ FEATURES = ["frequency", "monetary", "balance"]
 
 def training(t):
     """Scaled features as a vector, settled once: every fit reads it several times."""
-    s = scored(t)
-    s = X.apply_numeric(s, X.fit_numeric(s, FEATURES)).withColumn("label", F.col("label").cast("double"))
-    return settle(M.assemble(s, FEATURES, ["customer_id", "label"]), "training")
+    s = keep(scored(t).select("customer_id", "label", *FEATURES))  # the scaling's passes share one aggregation of the orders
+    scaled = X.apply_numeric(s, X.fit_numeric(s, FEATURES)).withColumn("label", F.col("label").cast("double"))
+    out = settle(M.assemble(scaled, FEATURES, ["customer_id", "label"]), "training")
+    s.unpersist()
+    return out
 
 
 @query("majority_class", WITH + """, c AS (SELECT label AS best FROM scored GROUP BY 1 ORDER BY count(*) DESC, 1 LIMIT 1)
