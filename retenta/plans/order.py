@@ -36,21 +36,29 @@ def with_positions(df: DataFrame, searches: Sequence[tuple[str, str, str]], n_cu
     """Binary search: for each (key, cuts array, out) add how many cuts are < key (<= key in `upto`).
 
     One projection per halving step, so the search stays in generated code and
-    its length is log2 of the number of cuts.
+    its length is log2 of the number of cuts.  A step names the place found so
+    far three times, so a plan that wrote the place out in terms of its inputs
+    (planning does, for a join on it) would treble with every step; the places
+    leave through a generator, which ends that.
     """
     step = 1
     while step * 2 <= n_cuts:
         step *= 2
-    df = df.withColumns({out: F.lit(0) for _, _, out in (*searches, *upto)})
+    found = {out: f"_search{out}" for _, _, out in (*searches, *upto)}
+    if not found:
+        return df
+    df = df.withColumns({at: F.lit(0) for at in found.values()})
     while step:
         moves = {}
         for i, (key, cuts, out) in enumerate((*searches, *upto)):
-            at = F.get(F.col(cuts), F.col(out) + (step - 1))
+            place = F.col(found[out])
+            at = F.get(F.col(cuts), place + (step - 1))
             passed = at < F.col(key) if i < len(searches) else at <= F.col(key)
-            moves[out] = F.when(passed, F.col(out) + step).otherwise(F.col(out))
+            moves[found[out]] = F.when(passed, place + step).otherwise(place)
         df = df.withColumns(moves)
         step //= 2
-    return df
+    places = F.struct(*[F.col(at).alias(out) for out, at in found.items()])
+    return df.select("*", F.inline(F.array(places))).drop(*found.values())
 
 
 def _is_text(df: DataFrame, name: str) -> bool:

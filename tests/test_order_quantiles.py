@@ -48,6 +48,22 @@ def test_running_totals(spark):
     assert got.join(want, "id").where("s = w").count() == df.count()
 
 
+def test_planning_does_not_grow_with_the_search(spark):
+    df = hot_rows(spark).where("k is not null")
+    threads = spark._jvm.java.lang.management.ManagementFactory.getThreadMXBean()
+
+    def allocated(bins):
+        """Bytes that the driver needs to plan it; the second time, when classes are loaded."""
+        for _ in range(2):
+            out = running_totals(df, "k", {"s": F.col("v")}, tie="id", by=["g"], bins=bins)
+            before = threads.getCurrentThreadAllocatedBytes()
+            out._jdf.queryExecution().executedPlan()
+            used = threads.getCurrentThreadAllocatedBytes() - before
+        return used
+
+    assert allocated(256) < 4 * allocated(16)
+
+
 def test_average_ranks_of_ties(spark):
     df = spark.createDataFrame([(1.0,), (2.0,), (2.0,), (4.0,)], "x double")
     assert {r["x"]: r["avg_rank"] for r in average_ranks(df, "x").collect()} == {1.0: 1.0, 2.0: 2.5, 4.0: 4.0}
