@@ -106,6 +106,37 @@ def test_similarity_join_of_several_lengths(spark):
     assert got == want and sum(n for n, _, _ in got.values()) > 100
 
 
+def test_similarity_join_stores_no_vector_for_each_partner(spark, monkeypatch):
+    rng = np.random.default_rng(8)
+    crowd = rng.standard_normal(16) + 0.01 * rng.standard_normal((400, 16))
+    rows = [(i, [float(v) for v in r], 0) for i, r in enumerate(np.concatenate([crowd, rng.standard_normal((200, 16))]))]
+    seen, settle = {}, egojoin.table
+
+    def spy(df, name):
+        out = settle(df, name)
+        seen[name] = df._jdf.queryExecution().executedPlan().toString(), out.count()
+        return out
+
+    monkeypatch.setattr(egojoin, "table", spy)
+    got = {r["vec_id"]: r for r in egojoin.similarity_join(spark.createDataFrame(rows, VECS), block=4).collect()}
+    plan, found = seen["found"]
+    assert "Exchange" not in plan  # no shuffle or broadcast of vectors, however many tiles a tile meets
+    assert found < 20 * len(rows)  # 5,050 pairs of blocks in the crowd alone
+    assert all(got[i]["n_links"] >= 399 and got[i]["component_id"] == 0 for i in range(400))
+
+
+def test_similarity_join_at_the_threshold(spark):
+    steps = [s * 10.0 ** -e for e in (3, 5, 6, 7, 8, 10, 12) for s in (1, -1)]
+    at = np.zeros((len(steps) + 1, len(steps) + 1))
+    at[0, 0] = 1
+    for i, step in enumerate(steps, 1):
+        at[i, 0] = 0.9 + step
+        at[i, i] = np.sqrt(1 - at[i, 0] ** 2)
+    df = spark.createDataFrame([(i, [float(x) for x in v * (i + 1)]) for i, v in enumerate(at)], "vec_id long, embedding array<double>")
+    got = {r["vec_id"]: r["n_links"] for r in egojoin.similarity_join(df).collect()}
+    assert got == {0: len(steps) // 2} | {i: int(step > 0) for i, step in enumerate(steps, 1)}
+
+
 def test_nearest_recall_order_and_odd_rows(spark):
     rng = np.random.default_rng(2)
     x = rng.standard_normal((1200, 24)) * rng.uniform(0.5, 2, (1200, 1))
