@@ -31,7 +31,8 @@ from retenta.llm.common import chunks, merge_labels, release, table, valid_vecto
 from retenta.llm.components import components
 
 BLOCK = 512
-TILE = 8            # blocks per tile
+TILE = 8            # blocks per tile at most
+TILE_NUMBERS = 1 << 18  # components in a tile of several blocks at most
 PART_BITS = 24      # room for tiles within one range partition
 EDGES = 1 << 16     # edges between labels that a task holds before it passes them on
 CLOSE = 1 << 20     # numbers multiplied at once where pairs are decided in double precision
@@ -65,6 +66,7 @@ def _tiles(classes: DataFrame, dim: int, eps: float, size: int) -> DataFrame:
     dims = min(DIMS, dim)
     basis = _rotation(classes, dim, dims)
     kind = _kind(classes)
+    most = size * max(1, min(TILE, TILE_NUMBERS // (size * dim)))
 
     def project(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -83,11 +85,11 @@ def _tiles(classes: DataFrame, dim: int, eps: float, size: int) -> DataFrame:
         count = 0
         for b in batches:
             while b.num_rows:
-                piece = b.slice(0, size * TILE - count)
+                piece = b.slice(0, most - count)
                 b = b.slice(piece.num_rows)
                 held.append(piece)
                 count += piece.num_rows
-                if count == size * TILE:
+                if count == most:
                     yield emit(held, (part << PART_BITS) + k)
                     held, count, k = [], 0, k + 1
         if count:

@@ -125,6 +125,28 @@ def test_similarity_join_stores_no_vector_for_each_partner(spark, monkeypatch):
     assert all(got[i]["n_links"] >= 399 and got[i]["component_id"] == 0 for i in range(400))
 
 
+def test_similarity_join_of_wide_vectors(spark, monkeypatch):
+    x = vectors(np.random.default_rng(4), 160, 600)
+    df = spark.createDataFrame([(i, [float(v) for v in r], 0) for i, r in enumerate(x)], VECS)
+    u = x.astype(np.float64)
+    u /= np.linalg.norm(u, axis=1, keepdims=True)
+    link = u @ u.T >= 0.9
+    np.fill_diagonal(link, False)
+    sizes, settle = [], egojoin.table
+
+    def spy(df, name):
+        out = settle(df, name)
+        if name == "tiles":
+            sizes.extend(r[0] for r in out.select(F.length("vectors")).collect())
+        return out
+
+    monkeypatch.setattr(egojoin, "table", spy)
+    monkeypatch.setattr(egojoin, "TILE_NUMBERS", 20000)  # one block of 32, no second one
+    got = {r["vec_id"]: r["n_links"] for r in egojoin.similarity_join(df, block=32).collect()}
+    assert [got[i] for i in range(len(x))] == link.sum(axis=1).tolist() and link.any()
+    assert len(sizes) > 4 and max(sizes) <= 32 * 600 * 4
+
+
 def test_similarity_join_at_the_threshold(spark):
     steps = [s * 10.0 ** -e for e in (3, 5, 6, 7, 8, 10, 12) for s in (1, -1)]
     at = np.zeros((len(steps) + 1, len(steps) + 1))
